@@ -22,8 +22,8 @@ from tidegate.operators.names import exclude_columns
 from tidegate.plans.database import suffix_governed
 from tidegate.plans.export import payroll_export, primary_aliases
 from tidegate.sinks import ledger
-from tidegate.sinks.jdbc import CHUNK, chunk_of
 from tidegate.sinks.tables import transform
+from tidegate.sinks.targets import CHUNK, chunk_of
 from tidegate.sources.tables import id_values, keyset
 
 ORDERED = ", ".join(

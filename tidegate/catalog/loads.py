@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidegate.catalog.registry import query, table
-from tidegate.plans import lake
-from tidegate.plans.specs import LakeEntity
+from tidegate.plans import database, lake
+from tidegate.plans.specs import DatabaseEntity, LakeEntity
 from tidegate.sinks import ledger
 from tidegate.sinks.tables import read_bucketed
+from tidegate.sinks.targets import FolderTarget
 from tidegate.streaming.loads import dedupe_within, stream_upsert
 from tidegate.workspace import scratch_path
 
@@ -101,6 +102,70 @@ def load_ledger(spark, sf_dir):
     )
 
 
+TARGET_COLUMNS = "c_custkey AS FacilityId, c_nationkey AS RouteId, c_mktsegment AS RouteCode, c_acctbal AS Balance"
+GOVERNED = [3, 7, 11]
+
+
+def _route_entity(**changes) -> DatabaseEntity:
+    settings = dict(
+        name="Route",
+        table="stg_Route",
+        write_mode="truncate_insert",
+        transform=f"SELECT {TARGET_COLUMNS}, c_name FROM route",
+        excluded_columns=["C_NAME"],
+        suffix_columns=("RouteId", "RouteCode"),
+        write_enabled=True,
+    )
+    return DatabaseEntity(**settings | changes)
+
+
+ROUTES = (
+    "SELECT c_custkey AS FacilityId, c_nationkey AS RouteId, CASE WHEN c_nationkey IN (3, 7, 11) THEN c_mktsegment || '-D' "
+    "ELSE c_mktsegment END AS RouteCode, c_acctbal AS Balance FROM customer"
+)
+
+
+@query(ROUTES)
+def truncate_insert_load(spark, sf_dir):
+    """Loaded twice in chunks with suffixed codes: the second run replaces the first."""
+    target = FolderTarget(scratch_path(spark, "database"))
+    entity = _route_entity(chunk_column="routecode", chunks=3)
+    for _ in range(2):
+        database.load(spark, entity, table(spark, sf_dir, "customer"), target, "daily", f"{target.root}/ledger", AS_OF, GOVERNED)
+    return spark.read.parquet(target.path(entity.table))
+
+
+@query(f"SELECT * FROM ({ROUTES}) WHERE RouteId IN (0, 1, 2, 3, 4, 5, 6, 7)")
+def initial_load(spark, sf_dir):
+    """An initial load of a listed set of routes."""
+    target = FolderTarget(scratch_path(spark, "database"))
+    entity, ids = _route_entity(name="RouteInitialLoad", transform=f"SELECT {TARGET_COLUMNS}, c_name FROM routeinitialload"), range(8)
+    customers = table(spark, sf_dir, "customer")
+    database.load(
+        spark, entity, customers, target, "initial", f"{target.root}/ledger", AS_OF, GOVERNED, ("c_nationkey", list(ids), "include")
+    )
+    return spark.read.parquet(target.path(entity.table))
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def append_absent_load(spark, sf_dir):
+    """Two transactional runs and a replay without a watermark: every event is inserted once."""
+    target, events = FolderTarget(scratch_path(spark, "database")), table(spark, sf_dir, "events")
+    entity = DatabaseEntity(
+        name="Event",
+        table="stg_Event",
+        write_mode="append",
+        dedupe_keys=["EVENT_ID"],
+        watermark="ts",
+        incremental=True,
+        write_enabled=True,
+    )
+    for mode, until in (("transactional", "2024-01-16"), ("transactional", "2024-02-01"), ("daily", "2024-02-01")):
+        source = events.where(F.col("ts") < until)
+        database.load(spark, entity, source, target, mode, f"{target.root}/ledger", AS_OF)
+    return spark.read.parquet(target.path(entity.table))
+
+
 def _event_stream(spark, sf_dir, folder):
     """The events as a stream of files: written once as six files in time order, read two at a time."""
     events = table(spark, sf_dir, "events")

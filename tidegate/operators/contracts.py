@@ -59,6 +59,11 @@ class Contract:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """Schema of the table behind the contract: text columns without their length."""
+        return T.StructType([T.StructField(f.name, _stored_type(f.dataType), f.nullable) for f in self.schema.fields])
+
     def check_columns(self, df: DataFrame) -> None:
         """The frame must have exactly the contract's columns, in order, and the keys among them."""
         if df.columns != self.columns:

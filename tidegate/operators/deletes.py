@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidegate.functions import KEY_BUCKETS, key_bucket
 from tidegate.operators.dedupe import distinct_keys
 from tidegate.operators.filters import not_soft_deleted
-from tidegate.operators.membership import exclude_keys
+from tidegate.operators.membership import exclude_keys, without_held
 from tidegate.operators.merge import update_columns
 
 # Column names of the snapshot and event tables.
@@ -82,7 +82,7 @@ def new_events(
     if bucket in events.columns:
         fresh = fresh.withColumn(bucket, key_bucket([key], buckets))
         on = [key, bucket]
-    stamped = exclude_keys(fresh, events.select(*on), on).withColumn(DETECTED_TS, F.lit(as_of).cast("timestamp"))
+    stamped = without_held(fresh, events, on).withColumn(DETECTED_TS, F.lit(as_of).cast("timestamp"))
     return stamped.withColumn(DETECTED_DATE, F.to_date(DETECTED_TS)) if len(on) == 2 else stamped
 
 

@@ -98,7 +98,7 @@ def excluded_keys(
     steps: Sequence[KeyStep],
     folder: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Excluded key sets, one column each, propagated from ``seeds`` along ``steps``.
+    """Excluded key sets, one column of distinct ids each, propagated from ``seeds`` along ``steps``.
 
     A step whose source relation is absent, or whose parent set is unknown, is left out, and with
     it every rule that needs its keys. Each set is written once and then read by all its rules.
@@ -111,7 +111,7 @@ def excluded_keys(
         select, match = resolve(source, [step.select, step.match])
         members = keys[step.parent]
         members = members.select(F.col(members.columns[0]).alias(match))
-        hit = include_keys(source.select(*dict.fromkeys([select, match])), members, [match])
+        hit = include_keys(source.select(*dict.fromkeys([select, match])), members, [match], unique=True)
         where = folder or scratch_path(source.sparkSession, "excluded")
         if step.parent_column:
             (parent,) = resolve(source, [step.parent_column])
@@ -133,7 +133,7 @@ def apply_rules(
             (column,) = resolve(df, [rule.column])
             members = keys[rule.key]
             members = members.select(F.col(members.columns[0]).cast(df.schema[column].dataType).alias(column))
-            kept[rule.role] = exclude_keys(df, members, [column], rule.drop_nulls)
+            kept[rule.role] = exclude_keys(df, members, [column], rule.drop_nulls, unique=True)
     return kept
 
 
@@ -148,7 +148,9 @@ def exclude_routes(
     An empty list removes nothing, so the caller should not apply it (rows with a NULL route id
     would go as in NOT IN with a list).
     """
-    keys = excluded_keys({"route": route_ids}, sources, ROUTE_STEPS, folder)
+    folder = folder or scratch_path(route_ids.sparkSession, "excluded")
+    routes = stage(distinct_keys(route_ids, route_ids.columns[:1]), "keys", path=f"{folder}/route").df
+    keys = excluded_keys({"route": routes}, sources, ROUTE_STEPS, folder)
     return apply_rules(extracts, keys, ROUTE_RULES)
 
 

@@ -54,14 +54,14 @@ def descendants(
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"hierarchy is deeper than {max_rounds} levels")
-        if rounds > level_rounds and _double(spark, edges, found, level.df, folder):
+        if rounds == level_rounds + 1 and _double(spark, edges, found, level.df, folder):
             found = _found(spark, folder, level.df)
             break
         children = include_keys(
-            edges.where(F.col("parent").isNotNull()), level.df.withColumnRenamed("id", "parent"), ["parent"]
+            edges.where(F.col("parent").isNotNull()), level.df.withColumnRenamed("id", "parent"), ["parent"], unique=True
         )
         level = stage(
-            exclude_keys(children.select("id").distinct(), found, ["id"]),
+            children.select("id").distinct().join(found, "id", "left_anti"),
             "level",
             F.count(F.lit(1)).alias("n"),
             path=f"{folder}/found/level={rounds}",
@@ -81,7 +81,7 @@ def _double(spark: SparkSession, edges: DataFrame, found: DataFrame, level: Data
     round doubles the distance. Ids at every distance from the found set lie on the way to those
     further off, so a round that finds nothing ends the search.
     """
-    unseen = exclude_keys(edges.dropna(subset=["parent"]), found, ["id"])
+    unseen = exclude_keys(edges.dropna(subset=["parent"]), found, ["id"], unique=True)
     one_parent = unseen.groupBy("id").agg(F.min("parent").alias("up"), F.max("parent").alias("other"))
     start = stage(
         one_parent, "pointers", F.max(F.col("up") != F.col("other")).alias("several"), path=f"{folder}/pointers-start"
@@ -89,11 +89,9 @@ def _double(spark: SparkSession, edges: DataFrame, found: DataFrame, level: Data
     if start.metrics["several"]:
         return False
     pointers = start.df.select("id", "up")
-    below = include_keys(pointers.withColumnRenamed("up", "parent"), level.withColumnRenamed("id", "parent"), ["parent"])
+    last = level.select(F.col("id").alias("up"), F.lit(True).alias("hit"))
     state = stage(
-        pointers.join(below.select("id", F.lit(True).alias("hit")), "id", "left").select(
-            "id", "up", F.coalesce("hit", F.lit(False)).alias("hit")
-        ),
+        pointers.join(last, "up", "left").select("id", "up", F.coalesce("hit", F.lit(False)).alias("hit")),
         "pointers",
         F.count_if("hit").alias("hits"),
         path=f"{folder}/pointers-0",

@@ -27,35 +27,51 @@ def _spread(keys: Sequence[str], others: Sequence[str]) -> Column:
     return F.when(has_null, F.xxhash64(*[F.col(c) for c in others])).otherwise(by_key)
 
 
-def key_join(df: DataFrame, members: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equally named ``keys`` in which rows with a NULL key, which never match, are spread
+    over all tasks by their other columns instead of meeting in one."""
+    left_rest, right_rest = (comparable_columns(df, excluding=keys) for df in (left, right))
+    spread_left = left.withColumn(SPREAD, _spread(keys, left_rest))
+    return spread_left.join(right.withColumn(SPREAD, _spread(keys, right_rest)), [*keys, SPREAD], how).drop(SPREAD)
+
+
+def key_join(df: DataFrame, members: DataFrame, keys: Sequence[str], how: str, unique: bool = False) -> DataFrame:
     """Semi or anti join on equally named ``keys`` of which one value may own much of ``df``.
 
-    ``members`` is made distinct first, so a hot value there is folded by the map-side aggregation.
-    The join then uses a hash of the key next to the key. That hash does two things: rows with a
-    NULL key, which never match, are spread by their other columns instead of meeting in one task;
-    and ``members`` arrives through its own shuffle, which is the shape in which adaptive execution
-    splits a hot partition of ``df``. A small member set is broadcast by adaptive execution once
-    its size has been measured; nothing is broadcast by hint.
+    ``members`` is made distinct first unless the caller knows it is ``unique``, so a hot value
+    there is folded by the map-side aggregation. The join then uses a hash of the key next to the
+    key. That hash does two things: rows with a NULL key are spread over all tasks; and ``members``
+    arrives through its own shuffle, which is the shape in which adaptive execution splits a hot
+    partition of ``df``. A small member set is broadcast by adaptive execution once its size has
+    been measured; nothing is broadcast by hint.
     """
     keys = resolve(df, keys)
-    others = comparable_columns(df, excluding=keys)
-    left = df.withColumn(SPREAD, _spread(keys, others))
-    right = distinct_keys(members, keys).withColumn(SPREAD, _spread(keys, ()))
-    return left.join(right, [*keys, SPREAD], how).select(*df.columns)
+    if unique and how == "left_semi":
+        return df.join(members.select(*keys), keys, how)
+    right = members.select(*keys) if unique else distinct_keys(members, keys)
+    return spread_join(df, right, keys, how).select(*df.columns)
 
 
-def include_keys(df: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
+def include_keys(df: DataFrame, members: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows whose key occurs in ``members``."""
-    return key_join(df, members, keys, "left_semi")
+    return key_join(df, members, keys, "left_semi", unique)
 
 
-def exclude_keys(df: DataFrame, members: DataFrame, keys: Sequence[str], drop_nulls: bool = False) -> DataFrame:
+def exclude_keys(
+    df: DataFrame, members: DataFrame, keys: Sequence[str], drop_nulls: bool = False, unique: bool = False
+) -> DataFrame:
     """Rows whose key does not occur in ``members``.
 
     A NULL key is kept, as in an anti join; ``drop_nulls`` drops it, as ``NOT IN`` does.
     """
     rows = df.dropna(subset=resolve(df, keys)) if drop_nulls else df
-    return key_join(rows, members, keys, "left_anti")
+    return key_join(rows, members, keys, "left_anti", unique)
+
+
+def without_held(distinct: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Anti join for a left side that has one row per key already: it keeps that partitioning, so
+    neither side is shuffled twice."""
+    return distinct.join(distinct_keys(held, keys), list(keys), "left_anti")
 
 
 def filter_by_ids(df: DataFrame, column: str, ids: Sequence[int | str], mode: str = "include") -> DataFrame:

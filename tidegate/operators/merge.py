@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators.dedupe import dedupe_latest
-from tidegate.operators.membership import exclude_keys, include_keys
+from tidegate.operators.membership import exclude_keys, include_keys, spread_join, without_held
 from tidegate.operators.names import resolve
 
 MATCHED = "__matched"
@@ -43,14 +43,14 @@ def upsert(
     updates = updates.select(*base.columns)
     update_keys = updates.select(*keys) if updates_are_unique else unique_keys(updates, keys)
     if base_is_unique:
-        return exclude_keys(base, update_keys, keys).unionByName(updates)
+        return exclude_keys(base, update_keys, keys, unique=True).unionByName(updates)
     values = [c for c in base.columns if c not in keys]
-    matchable = updates if updates_are_unique else include_keys(updates, update_keys, keys)
+    matchable = updates if updates_are_unique else include_keys(updates, update_keys, keys, unique=True)
     new = matchable.select(*keys, F.struct(*[F.col(c) for c in values]).alias(MATCHED))
     matched = F.col(MATCHED).isNotNull()
     updated = [F.when(matched, F.col(f"{MATCHED}.{c}")).otherwise(F.col(c)).alias(c) for c in values]
     inserted = exclude_keys(updates, base, keys)
-    return base.join(new, keys, "left").select(*keys, *updated).select(*base.columns).unionByName(inserted)
+    return spread_join(base, new, keys, "left").select(*keys, *updated).select(*base.columns).unionByName(inserted)
 
 
 def merge_latest(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -65,7 +65,7 @@ def merge_latest(base: DataFrame, updates: DataFrame, keys: Sequence[str], order
 def absent_rows(existing_keys: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch``, one per key, whose key is not held yet. Existing rows are never updated."""
     keys = resolve(batch, keys)
-    return exclude_keys(dedupe_latest(batch, keys), existing_keys, keys)
+    return without_held(dedupe_latest(batch, keys), existing_keys, keys)
 
 
 def insert_absent(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,15 +77,12 @@ def update_columns(base: DataFrame, updates: DataFrame, keys: Sequence[str], col
     """Set only ``columns`` on matched rows; insert unmatched updates whole. One row per key on each side."""
     keys = resolve(base, keys)
     columns = resolve(base, columns)
-    held = base.withColumn(HELD, F.lit(True)).alias("b")
-    new = updates.select(*base.columns).withColumn(MATCHED, F.lit(True)).alias("u")
-    on = [F.col(f"b.{k}") == F.col(f"u.{k}") for k in keys]
-    joined = held.join(new, on, "full")
-
-    def value(name: str):
-        ours, theirs = F.col(f"b.{name}"), F.col(f"u.{name}")
-        if name in columns:
-            return F.when(F.col(MATCHED), theirs).otherwise(ours).alias(name)
-        return F.when(F.col(HELD), ours).otherwise(theirs).alias(name)
-
-    return joined.select(*[value(c) for c in base.columns])
+    ours, theirs = (F.struct(*[F.col(c) for c in base.columns if c not in keys]).alias(side) for side in (HELD, MATCHED))
+    joined = spread_join(base.select(*keys, ours), updates.select(*base.columns).select(*keys, theirs), keys, "full")
+
+    def value(name: str) -> Column:
+        first, second = (MATCHED, HELD) if name in columns else (HELD, MATCHED)
+        chosen = F.when(F.col(first).isNotNull(), F.col(f"{first}.{name}")).otherwise(F.col(f"{second}.{name}"))
+        return chosen.alias(name)
+
+    return joined.select(*[F.col(c) if c in keys else value(c) for c in base.columns])

@@ -13,9 +13,9 @@ from tidegate.operators.filters import HISTORY_MONTHS, after_watermark, history_
 from tidegate.operators.membership import IN_LIST_LIMIT, filter_by_ids
 from tidegate.operators.names import exclude_columns, resolve
 from tidegate.plans.specs import DatabaseEntity, LoadResult
-from tidegate.sinks import jdbc, ledger
+from tidegate.sinks import ledger
 from tidegate.sinks.tables import transform
-from tidegate.sources.jdbc import Database
+from tidegate.sinks.targets import Target, append_absent, write_chunks
 from tidegate.workspace import release, stage
 
 
@@ -65,7 +65,7 @@ def load(
     spark: SparkSession,
     spec: DatabaseEntity,
     source: DataFrame,
-    target: Database,
+    target: Target,
     mode: str,
     ledger_path: str,
     as_of: dt.datetime,
@@ -97,11 +97,9 @@ def load(
     out = exclude_columns(done.df, spec.excluded_columns)
     options = dict(spec.options)
     if spec.write_mode == "append" and spec.dedupe_keys:
-        count = jdbc.append_absent(out, target, spec.table, spec.dedupe_keys, options, spec.chunk_column, spec.chunks)
-    elif spec.chunks > 1:
-        jdbc.write_chunks(out, target, spec.table, spec.chunk_column, spec.chunks, spec.write_mode, count, options)
+        count = append_absent(out, target, spec.table, spec.dedupe_keys, options, spec.chunk_column, spec.chunks)
     else:
-        jdbc.write(out, target, spec.table, spec.write_mode, count, options)
+        write_chunks(out, target, spec.table, spec.chunk_column, spec.chunks, spec.write_mode, count, options)
 
     watermark = done.metrics.get("watermark")
     if incremental:

@@ -5,20 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidegate.operators.merge import absent_rows
-from tidegate.operators.names import resolve
 from tidegate.sources.jdbc import Database, key_scan
-from tidegate.workspace import release, scratch_path, stage
 
 # Write tasks by row count, largest first; rows per insert batch.
 WRITE_PARTITIONS = ((5_000_000, 64), (2_000_000, 48), (1_000_000, 32), (250_000, 16), (50_000, 8))
 LARGE_WRITE = 1_000_000
 BATCH_SIZES = {"large": 20_000, "normal": 10_000}
 
-CHUNK = "__chunk"
-
 
 def write_partitions(rows: int | None) -> int | None:
     """Number of write tasks for a row count; None leaves the frame as it is partitioned."""
@@ -60,60 +54,6 @@ def write(df: DataFrame, db: Database, table: str, mode: str = "append", rows: i
         writer.mode("overwrite").option("truncate", "true").save()
 
 
-def chunk_of(df: DataFrame, column: str, chunks: int) -> DataFrame:
-    (column,) = resolve(df, [column])
-    return df.withColumn(CHUNK, F.pmod(F.hash(F.col(column)), F.lit(chunks)))
-
-
-def write_chunks(
-    df: DataFrame, db: Database, table: str, column: str, chunks: int, mode: str = "append", rows: int | None = None, options: dict | None = None
-) -> int:
-    """Write in ``chunks`` separate inserts by key hash; returns how many. One chunk is a plain write.
-
-    The rows are written once to the shared folder partitioned by chunk, so each insert reads only
-    its own chunk and all of them see the same rows.
-    """
-    if chunks <= 1:
-        write(df, db, table, mode, rows, options)
-        return 1
-    spark = df.sparkSession
-    placed = chunk_of(df, column, chunks).hint("rebalance", F.col(CHUNK))
-    path = scratch_path(spark, "chunks")
-    placed.write.partitionBy(CHUNK).parquet(path)
-    copy = spark.read.schema(placed.schema).parquet(path)
-    per_chunk = None if rows is None else rows // chunks
-    for chunk in range(chunks):
-        part = copy.where(F.col(CHUNK) == chunk).drop(CHUNK)
-        write(part, db, table, mode if chunk == 0 else "append", per_chunk, options)
-    release(spark, path)
-    return chunks
-
-
 def target_keys(spark: SparkSession, db: Database, table: str, keys: Sequence[str]) -> DataFrame:
     """Distinct keys the target holds."""
     return key_scan(spark, db, f"SELECT * FROM {table}", keys)
-
-
-def append_absent(
-    df: DataFrame,
-    db: Database,
-    table: str,
-    keys: Sequence[str],
-    options: dict | None = None,
-    chunk_column: str | None = None,
-    chunks: int = 1,
-) -> int:
-    """Append the rows, one per key, whose key the target does not hold; returns how many.
-
-    The new rows are written to the shared folder before the first insert, so the insert does not
-    read the table it changes, and its size is known.
-    """
-    spark = df.sparkSession
-    keys = resolve(df, keys)
-    held = target_keys(spark, db, table, keys)
-    held = held.select(*[F.col(c).cast(df.schema[k].dataType).alias(k) for c, k in zip(resolve(held, keys), keys, strict=True)])
-    new = stage(absent_rows(held, df, keys), "absent", F.count(F.lit(1)).alias("rows"))
-    if new.metrics["rows"]:
-        write_chunks(new.df, db, table, chunk_column or keys[0], chunks, "append", new.metrics["rows"], options)
-    release(spark, new.path)
-    return new.metrics["rows"]
