@@ -76,3 +76,20 @@ def test_key_report(spark):
     assert (report.row_count, report.key_count, report.duplicate_key_count) == (3, 2, 1)
     empty = key_report(spark.range(1).where(F.lit(False)), ["id"]).first()
     assert (empty.row_count, empty.key_count, empty.duplicate_key_count) == (0, 0, 0)
+
+
+def test_information_schema(spark):
+    rows = [
+        (2, "Name", "nvarchar", 20, None, None, "NO"),
+        (1, "Id", "int", None, 10, 0, "NO"),
+        (3, "Pay", "decimal", None, 9, 2, "YES"),
+        (4, "Note", "nvarchar", -1, None, None, "YES"),
+        (5, "At", "datetime2", None, None, None, "YES"),
+    ]
+    schema = (
+        "ORDINAL_POSITION int, COLUMN_NAME string, DATA_TYPE string, CHARACTER_MAXIMUM_LENGTH int, NUMERIC_PRECISION int, "
+        "NUMERIC_SCALE int, IS_NULLABLE string"
+    )
+    contract = Contract.from_information_schema("T", spark.createDataFrame(rows, schema))
+    expected = Contract.from_ddl("T", "Id INT NOT NULL, Name VARCHAR(20) NOT NULL, Pay DECIMAL(9,2), Note VARCHAR(2147483647), At TIMESTAMP")
+    assert contract == expected

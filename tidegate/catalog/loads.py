@@ -166,6 +166,26 @@ def append_absent_load(spark, sf_dir):
     return spark.read.parquet(target.path(entity.table))
 
 
+@query(
+    "SELECT 'Customer' AS entity_name, 'success' AS status, count(*) AS row_count, 'overwrite' AS raw_mode, 'overwrite' AS "
+    "current_mode FROM customer UNION ALL SELECT 'Order', 'success', count(*), 'overwrite', 'overwrite' FROM orders "
+    "UNION ALL SELECT 'Supplier', 'skipped_empty', 0, '', ''"
+)
+def load_summary(spark, sf_dir):
+    """Result summary of three daily loads, one of them without rows."""
+    folder = scratch_path(spark, "summary")
+    loads = {
+        "Order": ("o_orderkey", table(spark, sf_dir, "orders")),
+        "Customer": ("c_custkey", table(spark, sf_dir, "customer")),
+        "Supplier": ("s_suppkey", table(spark, sf_dir, "supplier").where(F.col("s_suppkey") < 0)),
+    }
+    results = {}
+    for name, (key, source) in loads.items():
+        entity = _entity(f"{folder}/{name}", name=name, keys=[key], order=[], watermark=None, incremental=False)
+        results[name] = lake.load(spark, entity, source, "daily", f"{folder}/ledger", AS_OF)
+    return lake.load_summary(results, spark)
+
+
 def _event_stream(spark, sf_dir, folder):
     """The events as a stream of files: written once as six files in time order, read two at a time."""
     events = table(spark, sf_dir, "events")

@@ -9,5 +9,6 @@ from tidegate.functions.columns import (  # noqa: F401
     format_watermark,
     key_bucket,
     primary_alias,
+    safe_cast,
     with_suffix,
 )

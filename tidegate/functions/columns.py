@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The status codes of the payroll export and their names.
 EXPORT_STATUS = {
@@ -40,14 +41,46 @@ def format_watermark(ts: str | Column, digits: int = 6) -> Column:
     return F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss." + "S" * digits)
 
 
+# The texts Spark reads as booleans.
+TRUE_TEXTS = ("t", "true", "y", "yes", "1")
+FALSE_TEXTS = ("f", "false", "n", "no", "0")
+
+# Characters that occur in no text of a kind. Spark trims spaces and control characters.
+NO_INTEGER = r"[^0-9+\-\s\p{Cntrl}]"
+NO_DECIMAL = r"[^0-9+\-.eE\s\p{Cntrl}]"
+DIGIT = r"[0-9]"
+
+
+def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
+    """``try_cast`` that is fast on rows it cannot cast.
+
+    Spark's ``try_cast`` raises and catches an error for each such row. A cheap test in front of it
+    turns most of them into NULL; it rejects only what the cast would reject as well.
+    """
+    cast = column.try_cast(target)
+    if isinstance(source, T.StringType):
+        if isinstance(target, T.IntegralType):
+            return F.when(~column.rlike(NO_INTEGER), cast)
+        if isinstance(target, T.DecimalType):
+            return F.when(~column.rlike(NO_DECIMAL), cast)
+        if isinstance(target, T.BooleanType):
+            text = F.lower(F.trim(column))
+            return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
+        if isinstance(target, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return F.when(column.rlike(DIGIT), cast)
+    # Up to 15 digits a double tells a value that fits from the first that does not.
+    if isinstance(source, T.NumericType) and isinstance(target, T.DecimalType) and target.precision <= 15:
+        return F.when(F.abs(column) < F.lit(10.0 ** (target.precision - target.scale)), cast)
+    return cast
+
+
 def decode(code: str | Column, names: Mapping[int, str]) -> Column:
     """Name of a numeric code. Unknown codes, and text that is no number, come back as text."""
     column = _col(code)
-    number = column.try_cast("int")
-    result = F
-    for key, name in names.items():
-        result = result.when(number == key, F.lit(name))
-    return result.otherwise(column.cast("string"))
+    text = column.cast("string")
+    number = F.when(~text.rlike(NO_DECIMAL), column.try_cast("int"))
+    lookup = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
+    return F.coalesce(lookup[number], text)
 
 
 def flag_set(column: str | Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions import safe_cast
 from tidegate.operators.names import resolve
 
 REASONS = "__reasons"
@@ -27,6 +28,10 @@ SQL_SERVER_TYPES = {
 }
 
 
+# Length of a text column that has no limit.
+UNBOUNDED_TEXT = 2**31 - 1
+
+
 def spark_type(sql_server_type: str) -> str:
     """Spark DDL type of a SQL Server type; precision and text length are kept where Spark has them."""
     name, _, arguments = sql_server_type.strip().upper().partition("(")
@@ -55,6 +60,16 @@ class Contract:
         ddl = ", ".join(f"`{c}` {spark_type(t)}{'' if nullable else ' NOT NULL'}" for c, t, nullable in columns)
         return Contract.from_ddl(name, ddl, keys)
 
+    @staticmethod
+    def from_information_schema(name: str, columns: DataFrame, keys: Sequence[str] = ()) -> Contract:
+        """From a target's rows of INFORMATION_SCHEMA.COLUMNS, one per column of the table."""
+        length = F.when(F.col("CHARACTER_MAXIMUM_LENGTH") > 0, F.col("CHARACTER_MAXIMUM_LENGTH")).otherwise(UNBOUNDED_TEXT)
+        kind = F.upper("DATA_TYPE")
+        sized = F.when(kind == "DECIMAL", F.format_string("DECIMAL(%d,%d)", "NUMERIC_PRECISION", "NUMERIC_SCALE"))
+        sized = sized.when(kind == "NVARCHAR", F.format_string("NVARCHAR(%d)", length)).otherwise(kind)
+        ordered = columns.orderBy("ORDINAL_POSITION").select("COLUMN_NAME", sized, F.col("IS_NULLABLE") == "YES")
+        return Contract.from_sql_server(name, [tuple(row) for row in ordered.collect()], keys)
+
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
@@ -77,8 +92,8 @@ def _stored_type(kind: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(kind, (T.VarcharType, T.CharType)) else kind
 
 
-def _checks(field: T.StructField, source: Column) -> tuple[Column, list[Column]]:
-    value = source.try_cast(_stored_type(field.dataType))
+def _checks(field: T.StructField, source: Column, kind: T.DataType) -> tuple[Column, list[Column]]:
+    value = safe_cast(source, kind, _stored_type(field.dataType))
     problems = [F.when(source.isNotNull() & value.isNull(), F.lit(f"{field.name}: not a {field.dataType.simpleString()}"))]
     if not field.nullable:
         problems.append(F.when(source.isNull(), F.lit(f"{field.name}: missing")))
@@ -97,7 +112,7 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     names = resolve(df, contract.columns)
     values, problems = [], []
     for field, name in zip(contract.schema.fields, names, strict=True):
-        value, found = _checks(field, F.col(name))
+        value, found = _checks(field, F.col(name), df.schema[name].dataType)
         values.append(value.alias(field.name))
         problems += found
     return df.select(*values, F.to_json(F.struct(*df.columns)).alias("__row"), F.array_compact(F.array(*problems)).alias(REASONS))

@@ -9,7 +9,7 @@ from tidegate.operators.membership import exclude_keys, include_keys
 from tidegate.workspace import release, scratch_path, stage
 
 # Rounds of level-by-level expansion before deep single-parent chains are finished by doubling.
-LEVEL_ROUNDS = 6
+LEVEL_ROUNDS = 4
 MAX_ROUNDS = 10_000
 
 
@@ -67,6 +67,7 @@ def descendants(
             path=f"{folder}/found/level={rounds}",
         )
         found = _found(spark, folder, level.df)
+    release(spark, f"{folder}/edges")
     return found.select(F.col("id").alias(id_column))
 
 
@@ -115,4 +116,5 @@ def _double(spark: SparkSession, edges: DataFrame, found: DataFrame, level: Data
         )
         release(spark, previous.path)
     stage(state.df.where("hit").select("id"), "level", path=f"{folder}/found/level=deep")
+    release(spark, start.path, state.path)
     return True
