@@ -73,5 +73,5 @@ def test_no_cut_of_lineage_by_local_copies():
 
     root = pathlib.Path(__file__).parent.parent / "tidegate"
     text = "".join(p.read_text() for p in root.rglob("*.py"))
-    for word in ("localCheckpoint", "crossJoin", "F.broadcast(", "toPandas("):
+    for word in ("localCheckpoint", "crossJoin", "toPandas("):
         assert word not in text

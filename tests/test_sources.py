@@ -109,3 +109,30 @@ def test_compaction_clusters_by_key(spark, folder):
 
 def test_load_report(spark):
     assert [tuple(r) for r in load_report(spark, {"b": 2, "a": None}).collect()] == [("a", None), ("b", 2)]
+
+
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+@pytest.mark.parametrize("order", [[], ["t"]])
+def test_merge_by_broadcast_and_by_shuffle(spark, folder, conf, limit, order):
+    conf(spark__sql__autoBroadcastJoinThreshold=limit)
+    path = f"{folder}/t"
+    schema = "k string, t int"
+    tables.write_bucketed(spark.createDataFrame([("a", 5), ("b", 5), (None, 1)], schema), path, ["k"], 4)
+    tables.merge_into(spark, path, spark.createDataFrame([("a", 9), ("b", 1), ("c", 1), (None, 2)], schema), ["k"], 4, order)
+    rows = sorted(((r.k or "", r.t) for r in tables.read_bucketed(spark, path).collect()))
+    expected = [("", 2), ("a", 9), ("b", 5), ("c", 1)] if order else [("", 1), ("", 2), ("a", 9), ("b", 1), ("c", 1)]
+    assert rows == expected
+    if not order:
+        with pytest.raises(Exception, match="duplicate merge key"):
+            tables.merge_into(spark, path, spark.createDataFrame([("z", 1), ("z", 2)], schema), ["k"], 4)
+        assert sorted(((r.k or "", r.t) for r in tables.read_bucketed(spark, path).collect())) == expected
+
+
+def test_small_merge_does_not_shuffle_the_table(spark, folder):
+    path = f"{folder}/t"
+    tables.write_bucketed(spark.range(100).selectExpr("id", "'a' AS v"), path, ["id"], 4)
+    base = spark.read.parquet(path)
+    changes = spark.createDataFrame([(1, "b")], "id bigint, v string").withColumn(tables.BUCKET, tables.key_bucket(["id"], 4))
+    plan = tables._split_merge(base, changes, ["id"], [])._jdf.queryExecution().executedPlan().toString()
+    above_scan = plan[: plan.index("FileScan parquet")]
+    assert "BroadcastHashJoin" in above_scan and "Exchange hashpartitioning" not in above_scan.split("BroadcastHashJoin")[0]

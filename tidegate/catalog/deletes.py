@@ -63,13 +63,13 @@ def delete_active_keys(spark, sf_dir):
 
 @query(MISSING)
 def delete_candidates_incremental(spark, sf_dir):
-    return deletes.missing_keys(deletes.active_keys(_current(spark, sf_dir), KEY), _source(spark, sf_dir), KEY)
+    return deletes.missing_keys(deletes.held_keys(_current(spark, sf_dir), KEY), _source(spark, sf_dir), KEY)
 
 
 @query(MISSING_FULL)
 def delete_candidates_full(spark, sf_dir):
-    active = deletes.active_keys(_current(spark, sf_dir), KEY)
-    return deletes.missing_keys_full(active, _lines(spark, sf_dir), _source(spark, sf_dir), KEY)
+    held = deletes.held_keys(_current(spark, sf_dir), KEY)
+    return deletes.missing_keys_full(held, _lines(spark, sf_dir), _source(spark, sf_dir), KEY)
 
 
 @query(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.operators.names import comparable_columns, resolve
+from tidegate.operators.names import comparable_columns, not_null, resolve
 
 BEST = "__best"
 
@@ -45,7 +45,7 @@ def distinct_keys(df: DataFrame, keys: Sequence[str], keep_nulls: bool = False)
     """Distinct key values, by default without rows in which a key is NULL."""
     keys = resolve(df, keys)
     selected = df.select(*keys)
-    return (selected if keep_nulls else selected.dropna(subset=keys)).distinct()
+    return (selected if keep_nulls else not_null(selected, keys)).distinct()
 
 
 def union_distinct(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:

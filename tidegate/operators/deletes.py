@@ -13,6 +13,7 @@ from tidegate.operators.dedupe import distinct_keys
 from tidegate.operators.filters import not_soft_deleted
 from tidegate.operators.membership import exclude_keys, without_held
 from tidegate.operators.merge import update_columns
+from tidegate.operators.names import not_null
 
 # Column names of the snapshot and event tables.
 SNAPSHOT_TS = "Snapshot_Timestamp"
@@ -44,23 +45,27 @@ def source_keys(df: DataFrame, key: str) -> DataFrame:
     return distinct_keys(df, [key])
 
 
+def held_keys(current: DataFrame, key: str, flag: str = "IS_DELETED") -> DataFrame:
+    """Non-NULL keys of the current state that are not flagged as deleted, as often as they occur."""
+    return not_null(not_soft_deleted(current, flag).select(key), [key])
+
+
 def active_keys(current: DataFrame, key: str, flag: str = "IS_DELETED") -> DataFrame:
     """Distinct non-NULL keys of the current state that are not flagged as deleted."""
-    return distinct_keys(not_soft_deleted(current, flag), [key])
+    return held_keys(current, key, flag).distinct()
 
 
 def missing_keys(held: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Incremental candidates: held keys (distinct) that the source no longer has."""
-    return held.select(key).join(source.select(key), key, "left_anti")
+    """Incremental candidates: distinct held keys that the source no longer has.
 
+    Each side is shuffled once, for its distinct; the join reuses that partitioning.
+    """
+    return without_held(distinct_keys(held, [key]), source, [key])
 
-def missing_keys_full(active: DataFrame, history: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Full candidates: keys of the current state or of history that the source no longer has.
 
-    The union is made distinct before the one anti join; the join reuses that partitioning.
-    """
-    held = active.select(key).unionByName(history.select(key)).where(F.col(key).isNotNull()).distinct()
-    return missing_keys(held, source, key)
+def missing_keys_full(held: DataFrame, history: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Full candidates: keys of the current state or of history that the source no longer has."""
+    return missing_keys(held.select(key).unionByName(history.select(key)), source, key)
 
 
 def merge_snapshot(snapshot: DataFrame, source: DataFrame, key: str, as_of: dt.datetime) -> DataFrame:
@@ -72,18 +77,18 @@ def merge_snapshot(snapshot: DataFrame, source: DataFrame, key: str, as_of: dt.d
 def new_events(
     candidates: DataFrame, events: DataFrame, key: str, as_of: dt.datetime, buckets: int = KEY_BUCKETS
 ) -> DataFrame:
-    """Events for candidates that have none yet, stamped ``as_of``.
+    """Events for candidates that have none yet, stamped ``as_of``, in the layout of ``events``.
 
-    With a bucketed event table the join is on (key, bucket), so both sides prune by bucket.
+    The bucket follows from the key, so the key alone decides whether an event exists.
     """
     bucket = bucket_column(key)
-    fresh = distinct_keys(candidates, [key])
-    on = [key]
-    if bucket in events.columns:
-        fresh = fresh.withColumn(bucket, key_bucket([key], buckets))
-        on = [key, bucket]
-    stamped = without_held(fresh, events, on).withColumn(DETECTED_TS, F.lit(as_of).cast("timestamp"))
-    return stamped.withColumn(DETECTED_DATE, F.to_date(DETECTED_TS)) if len(on) == 2 else stamped
+    fresh = without_held(distinct_keys(candidates, [key]), events, [key])
+    stamped = fresh.withColumn(DETECTED_TS, F.lit(as_of).cast("timestamp"))
+    if bucket not in events.columns:
+        return stamped
+    return stamped.select(
+        key, key_bucket([key], buckets).alias(bucket), DETECTED_TS, F.to_date(DETECTED_TS).alias(DETECTED_DATE)
+    )
 
 
 def latest_events(events: DataFrame, key: str) -> DataFrame:

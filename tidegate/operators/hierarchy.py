@@ -38,7 +38,7 @@ def descendants(
     folder = folder or scratch_path(spark, "descendants")
     kind = nodes.schema[id_column].dataType
     edges = stage(
-        nodes.select(F.col(id_column).alias("id"), F.col(parent_column).cast(kind).alias("parent")).dropna(subset=["id"]),
+        nodes.select(F.col(id_column).alias("id"), F.col(parent_column).cast(kind).alias("parent")).where(F.col("id").isNotNull()),
         "edges",
         path=f"{folder}/edges",
     ).df
@@ -82,7 +82,7 @@ def _double(spark: SparkSession, edges: DataFrame, found: DataFrame, level: Data
     round doubles the distance. Ids at every distance from the found set lie on the way to those
     further off, so a round that finds nothing ends the search.
     """
-    unseen = exclude_keys(edges.dropna(subset=["parent"]), found, ["id"], unique=True)
+    unseen = exclude_keys(edges.where(F.col("parent").isNotNull()), found, ["id"], unique=True)
     one_parent = unseen.groupBy("id").agg(F.min("parent").alias("up"), F.max("parent").alias("other"))
     start = stage(
         one_parent, "pointers", F.max(F.col("up") != F.col("other")).alias("several"), path=f"{folder}/pointers-start"

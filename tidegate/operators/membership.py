@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators.dedupe import distinct_keys
-from tidegate.operators.names import comparable_columns, resolve
+from tidegate.operators.names import comparable_columns, not_null, resolve
 
 # Fixed value: the longest id list a source accepts in one IN predicate.
 IN_LIST_LIMIT = 1000
@@ -19,7 +19,8 @@ SPREAD = "__spread"
 MODES = ("include", "exclude")
 
 
-def _spread(keys: Sequence[str], others: Sequence[str]) -> Column:
+def spread_of(keys: Sequence[str], others: Sequence[str] = ()) -> Column:
+    """Hash of a key; of the other columns where a key column is NULL."""
     by_key = F.xxhash64(*[F.col(k) for k in keys])
     if not others:
         return by_key
@@ -29,10 +30,13 @@ def _spread(keys: Sequence[str], others: Sequence[str]) -> Column:
 
 def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on equally named ``keys`` in which rows with a NULL key, which never match, are spread
-    over all tasks by their other columns instead of meeting in one."""
-    left_rest, right_rest = (comparable_columns(df, excluding=keys) for df in (left, right))
-    spread_left = left.withColumn(SPREAD, _spread(keys, left_rest))
-    return spread_left.join(right.withColumn(SPREAD, _spread(keys, right_rest)), [*keys, SPREAD], how).drop(SPREAD)
+    over all tasks by their other columns instead of meeting in one. A side that has the spread
+    column already, because it was grouped by it, is not shuffled again."""
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df if SPREAD in df.columns else df.withColumn(SPREAD, spread_of(keys, comparable_columns(df, keys)))
+
+    return spread(left).join(spread(right), [*keys, SPREAD], how).drop(SPREAD)
 
 
 def key_join(df: DataFrame, members: DataFrame, keys: Sequence[str], how: str, unique: bool = False) -> DataFrame:
@@ -64,7 +68,7 @@ def exclude_keys(
 
     A NULL key is kept, as in an anti join; ``drop_nulls`` drops it, as ``NOT IN`` does.
     """
-    rows = df.dropna(subset=resolve(df, keys)) if drop_nulls else df
+    rows = not_null(df, resolve(df, keys)) if drop_nulls else df
     return key_join(rows, members, keys, "left_anti", unique)
 
 

@@ -8,19 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators.dedupe import dedupe_latest
-from tidegate.operators.membership import exclude_keys, include_keys, spread_join, without_held
-from tidegate.operators.names import resolve
+from tidegate.operators.membership import SPREAD, exclude_keys, include_keys, spread_join, spread_of, without_held
+from tidegate.operators.names import not_null, resolve
 
 MATCHED = "__matched"
 HELD = "__held"
 
 
 def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct non-NULL keys; running it fails if a key occurs twice."""
-    counted = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    """Distinct non-NULL keys with their spread column; running it fails if a key occurs twice."""
+    present = not_null(df.select(*keys), keys).withColumn(SPREAD, spread_of(keys))
+    counted = present.groupBy(*keys, SPREAD).agg(F.count(F.lit(1)).alias("__n"))
     message = F.concat(F.lit("duplicate merge key "), F.to_json(F.struct(*keys)))
     repeated = F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean"))
-    return counted.where(F.coalesce(repeated, F.lit(True))).select(*keys)
+    return counted.where(F.coalesce(repeated, F.lit(True))).select(*keys, SPREAD)
 
 
 def upsert(
@@ -43,7 +44,7 @@ def upsert(
     updates = updates.select(*base.columns)
     update_keys = updates.select(*keys) if updates_are_unique else unique_keys(updates, keys)
     if base_is_unique:
-        return exclude_keys(base, update_keys, keys, unique=True).unionByName(updates)
+        return spread_join(base, update_keys, keys, "left_anti").select(*base.columns).unionByName(updates)
     values = [c for c in base.columns if c not in keys]
     matchable = updates if updates_are_unique else include_keys(updates, update_keys, keys, unique=True)
     new = matchable.select(*keys, F.struct(*[F.col(c) for c in values]).alias(MATCHED))

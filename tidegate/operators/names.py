@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -23,6 +24,13 @@ def exclude_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*resolve(df, names))
 
 
+def not_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Rows in which none of the columns is NULL; the tests are pushed to the scan."""
+    for name in names:
+        df = df.where(F.col(name).isNotNull())
+    return df
+
+
 def comparable(data_type: T.DataType) -> bool:
     """Whether values of a type can be ordered and hashed (maps and variants cannot)."""
     if isinstance(data_type, T.ArrayType):

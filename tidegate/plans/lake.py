@@ -13,7 +13,16 @@ from tidegate.operators.dedupe import dedupe_latest
 from tidegate.operators.filters import after_watermark, between_bounds
 from tidegate.plans.specs import LakeEntity, LoadResult
 from tidegate.sinks import ledger
-from tidegate.sinks.tables import merge_into, read_bucketed, replicate, transform, write_bucketed, write_table
+from tidegate.sinks.tables import (
+    merge_into,
+    publish,
+    read_bucketed,
+    replicate,
+    restore_table,
+    transform,
+    write_bucketed,
+    write_table,
+)
 from tidegate.workspace import Staged, exists, release, stage
 
 
@@ -21,13 +30,13 @@ def _one_per_key(spec: LakeEntity, rows: DataFrame) -> DataFrame:
     return dedupe_latest(transform(rows, spec.transform, spec.name.lower()), spec.dedupe_keys or spec.keys, spec.order)
 
 
-def _stage_batch(spec: LakeEntity, rows: DataFrame) -> Staged:
+def _stage_batch(spec: LakeEntity, rows: DataFrame, path: str | None = None) -> Staged:
     """Read, transform and dedupe the extract once; count it and take its watermark on the way."""
     batch = _one_per_key(spec, rows)
     metrics = [F.count(F.lit(1)).alias("rows")]
     if spec.watermark:
         metrics.append(F.max(F.col(spec.watermark).cast("timestamp_ntz")).alias("watermark"))
-    return stage(batch, spec.name.lower(), *metrics)
+    return stage(batch, spec.name.lower(), *metrics, path=path)
 
 
 def _raw_mode(spec: LakeEntity, incremental: bool, existed: bool, grain: str) -> str:
@@ -53,7 +62,8 @@ def load(
     | transactional increment, HOURLY | append, or merge with `raw_merge` | merge (first: full read) |
     | transactional increment, DAILY  | refused, or both appended with `append_daily`               ||
 
-    An empty batch writes nothing. The ledger row comes last, so a run that dies is repeated from
+    The deduped extract is written once to the shared folder and read from there; where it replaces
+    the raw table it is written beside it and takes its place. An empty batch writes nothing. The ledger row comes last, so a run that dies is repeated from
     the same watermark; every sink here but a plain append gives the same tables again.
     """
     spec.check(mode)
@@ -61,20 +71,27 @@ def load(
     name = ledger.ledger_name(spec.name, spec.ledger_name)
     last = None
     rows = source
+    restore_table(spark, spec.raw_path)
     if incremental:
         held = spark.read.parquet(spec.raw_path) if exists(spark, spec.raw_path) else None
         last = ledger.last_watermark(spark, ledger_path, name, held, spec.watermark)
         rows = after_watermark(source, spec.watermark, last, spec.lookback)
 
-    batch = _stage_batch(spec, rows)
+    raw_mode = _raw_mode(spec, incremental, exists(spark, spec.raw_path), grain)
+    whole_raw = f"{spec.raw_path}__new" if raw_mode == "overwrite" and not spec.raw_merge else None
+    if whole_raw:
+        release(spark, whole_raw)
+    batch = _stage_batch(spec, rows, whole_raw)
     count = batch.metrics["rows"]
     if count == 0:
         release(spark, batch.path)
         return LoadResult(spec.name, "skipped_empty")
 
-    raw_mode = _raw_mode(spec, incremental, exists(spark, spec.raw_path), grain)
     raw_touched = None
-    if raw_mode == "merge":
+    if whole_raw:
+        publish(spark, whole_raw, spec.raw_path)
+        batch = Staged(spark.read.schema(batch.df.schema).parquet(spec.raw_path), whole_raw, batch.metrics)
+    elif raw_mode == "merge":
         raw_touched = merge_into(spark, spec.raw_path, batch.df, spec.keys, spec.buckets, staged=True)
     elif spec.raw_merge:
         write_bucketed(batch.df, spec.raw_path, spec.keys, spec.buckets)

@@ -81,7 +81,7 @@ def detect(
     snapshot = spark.read.schema(snapshot_schema).parquet(tables.snapshot)
     replace_table(spark, tables.snapshot, deletes.merge_snapshot(snapshot, keys.df, key, as_of))
 
-    held = deletes.active_keys(current, key, tables.soft_flag)
+    held = deletes.held_keys(current, key, tables.soft_flag)
     missing = (
         deletes.missing_keys_full(held, history, keys.df, key)
         if mode == "full"

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions import KEY_BUCKETS, key_bucket
 from tidegate.operators.deletes import bucket_column, bucketed_layout
-from tidegate.operators.merge import merge_latest, upsert
+from tidegate.operators.merge import merge_latest, unique_keys, upsert
 from tidegate.operators.names import comparable_columns
 from tidegate.workspace import exists, hadoop_path, release, rename, stage
 
@@ -60,6 +60,34 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET)
 
 
+def _key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Bytes of a row's key: the text length of text columns, 16 for any other."""
+    sizes = [F.octet_length(k) if isinstance(df.schema[k].dataType, (T.StringType, T.BinaryType)) else F.lit(16) for k in keys]
+    return sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(0))
+
+
+def _broadcast_limit(spark: SparkSession) -> int:
+    setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return -1 if setting.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
+
+
+def _split_merge(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The merge for a change set whose keys are small enough to send to every task.
+
+    Base rows of other keys are passed through where they were read, in their buckets; only rows of
+    changed keys are shuffled.
+    """
+    changed = (changes.select(*keys).distinct() if order else unique_keys(changes, keys)).select(
+        *[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)]
+    )
+    pairs = [(F.col(k), F.col(f"__c{i}")) for i, k in enumerate(keys)]
+    on = [ours.eqNullSafe(theirs) if order else ours == theirs for ours, theirs in pairs]
+    untouched = base.join(F.broadcast(changed), on, "left_anti")
+    if order:
+        changes = merge_latest(base.join(F.broadcast(changed), on, "left_semi"), changes, keys, order)
+    return untouched.unionByName(by_bucket(changes, BUCKET))
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -77,16 +105,24 @@ def merge_into(
     lost executors and retried tasks leave the table as it was. Applying the same updates again
     changes nothing. Pass ``staged`` if ``updates`` is a written table already. Returns the touched
     buckets, at most ``buckets`` numbers.
+
+    The changed keys are counted per bucket first. If together they stay below the session's
+    broadcast threshold, the table's rows are not shuffled at all; beyond it both sides are joined
+    by shuffle. Files added by small merges are gathered by `compact`.
     """
     changes = updates.withColumn(BUCKET, key_bucket(keys, buckets))
     copy = None if staged else stage(changes, "updates")
     changes = changes if copy is None else copy.df
-    touched = sorted(row[0] for row in changes.select(BUCKET).distinct().collect())
+    sizes = changes.groupBy(BUCKET).agg(F.sum(_key_bytes(changes, keys)).alias("bytes")).collect()
+    touched = sorted(row[BUCKET] for row in sizes)
     if touched:
         base = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
         changes = changes.select(*base.columns)
-        merged = merge_latest(base, changes, keys, order) if order else upsert(base, changes, keys)
-        writer = by_bucket(merged, BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if sum(row["bytes"] for row in sizes) <= _broadcast_limit(spark):
+            merged = _split_merge(base, changes, keys, order)
+        else:
+            merged = by_bucket(merge_latest(base, changes, keys, order) if order else upsert(base, changes, keys), BUCKET)
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(BUCKET).parquet(path)
     if copy is not None:
         release(spark, copy.path)
@@ -98,11 +134,18 @@ def replace_table(spark: SparkSession, path: str, df: DataFrame, partition_by: S
 
     A run that died between the two renames is completed by the next one.
     """
-    new, old = f"{path}__new", f"{path}__old"
+    new = f"{path}__new"
     restore_table(spark, path)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(new)
-    rename(spark, path, old)
+    publish(spark, new, path)
+
+
+def publish(spark: SparkSession, new: str, path: str) -> None:
+    """Put a written table in the place of another, or in a free place."""
+    old = f"{path}__old"
+    if exists(spark, path):
+        rename(spark, path, old)
     rename(spark, new, path)
     release(spark, old)
 
