@@ -29,6 +29,11 @@ def test_id_lists(spark, write, tmp_path):
             id_list(spark, path, required=True)
 
 
+def test_long_lists_stay_frames(spark):
+    with pytest.raises(ValueError, match="join"):
+        id_values(spark.range(11), at_most=10)
+
+
 def test_scans(spark, folder):
     df = spark.createDataFrame([(1,), (None,), (1,)], "K int")
     tables.stage_view(df, "some_stage")

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions import KEY_BUCKETS
 from tidegate.operators import deletes
@@ -19,7 +20,7 @@ from tidegate.sinks.tables import (
     restore_table,
     write_table,
 )
-from tidegate.workspace import has_files, release, stage
+from tidegate.workspace import has_files, matches, release, stage
 
 MODES = ("incremental", "full")
 
@@ -106,14 +107,12 @@ def detect(
     return DeleteResult(migrated, keys.metrics["rows"], candidates.metrics["rows"], fresh.metrics["rows"], synced)
 
 
-def _events(spark: SparkSession, tables: DeleteTables, schema) -> DataFrame:
+def _events(spark: SparkSession, tables: DeleteTables, schema: T.StructType) -> DataFrame:
     """Events in the layout they are stored in: bucketed, or the old one with key and time only."""
-    if not has_files(spark, tables.events):
+    bucketed = matches(spark, f"{tables.events}/{deletes.bucket_column(tables.key)}=*")
+    if bucketed or not has_files(spark, tables.events):
         return spark.read.schema(schema).parquet(tables.events)
-    stored = spark.read.parquet(tables.events)
-    if deletes.bucket_column(tables.key) in stored.columns:
-        return spark.read.schema(schema).parquet(tables.events)
-    return stored
+    return spark.read.parquet(tables.events)
 
 
 def active_view(spark: SparkSession, name: str, current: DataFrame, tables: DeleteTables) -> DataFrame:

@@ -88,10 +88,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder fits a glob pattern."""
+    fs, target = hadoop_path(spark, pattern)
+    return bool(fs.globStatus(target))
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether a table folder holds data; an empty one has no schema to infer."""
-    fs, target = hadoop_path(spark, f"{path}/[^_.]*")
-    return bool(fs.globStatus(target))
+    return matches(spark, f"{path}/[^_.]*")
 
 
 def release(spark: SparkSession, *paths: str) -> None:
