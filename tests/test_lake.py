@@ -8,6 +8,7 @@ from tidegate.plans import lake
 from tidegate.plans.specs import LakeEntity
 from tidegate.sinks import ledger
 from tidegate.sinks.tables import read_bucketed, same_content
+from tidegate.workspace import rename
 
 AS_OF = dt.datetime(2024, 2, 1)
 
@@ -151,3 +152,17 @@ def test_late_change_within_lookback(spark, folder):
 def test_summary(spark, folder):
     results = {"T": run(spark, entity(folder), source(spark, *FIRST), "daily")}
     assert [tuple(r) for r in lake.load_summary(results, spark).collect()] == [("T", "success", 2, "overwrite", "overwrite")]
+
+
+def test_interrupted_replacement(spark, folder):
+    """A half-written replacement is discarded; a swap that stopped half-way is undone."""
+    spec = entity(folder)
+    run(spark, spec, source(spark, *FIRST), "daily")
+    for path in (spec.raw_path, spec.current_path):
+        spark.range(3).write.parquet(f"{path}__new")
+    run(spark, spec, source(spark, *SECOND), "daily")
+    assert content(lake.current_state(spark, spec)) == [(1, "a"), (2, "B"), (3, "c")]
+    rename(spark, spec.current_path, f"{spec.current_path}__old")
+    result = lake.backfill(spark, spec, source(spark, (9, "z", 9)), "k")
+    assert result.current_mode == "merge"
+    assert content(lake.current_state(spark, spec)) == [(1, "a"), (2, "B"), (3, "c"), (9, "z")]

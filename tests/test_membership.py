@@ -56,3 +56,13 @@ def test_short_list_reaches_the_scan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     plan = filter_by_ids(df, "o_custkey", [1, 2])._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(o_custkey, [1,2])]" in plan
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "smallint", "decimal(38,0)", "decimal(10,2)", "double"])
+@pytest.mark.parametrize("other", ["int", "bigint", "decimal(38,0)", "decimal(10,2)", "double"])
+def test_key_types_may_differ(spark, kind, other):
+    df = spark.sql(f"SELECT CAST(k AS {kind}) AS k, v FROM VALUES (1, 'a'), (2, 'b'), (NULL, 'c') AS t(k, v)")
+    members = spark.sql(f"SELECT CAST(k AS {other}) AS k FROM VALUES (1), (1), (7) AS t(k)")
+    assert values(include_keys(df, members, ["k"])) == ["a"]
+    assert values(exclude_keys(df, members, ["k"])) == ["b", "c"]
+    assert values(exclude_keys(df, members.distinct(), ["k"], unique=True)) == ["b", "c"]

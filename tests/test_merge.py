@@ -69,3 +69,20 @@ def test_any_split_of_a_feed_gives_the_same_state(spark):
         for p in range(parts):
             state = merge.merge_latest(state, spark.createDataFrame(feed[p::parts], schema), ["k"], ["t"])
         assert sorted(state.collect()) == expected
+
+
+def test_updates_take_the_types_of_the_base(spark, folder):
+    from tidegate.sinks import tables
+
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
+    updates = spark.createDataFrame([("B", 2), ("C", 3)], "v string, k int")
+    expected = [(1, "a"), (2, "B"), (3, "C")]
+    for unique in (True, False):
+        assert content(merge.upsert(base, updates, ["k"], base_is_unique=unique)) == expected
+    assert content(merge.insert_absent(base, updates, ["k"])) == [(1, "a"), (2, "b"), (3, "C")]
+    assert content(merge.update_columns(base, updates, ["k"], ["v"])) == expected
+    tables.write_bucketed(base, folder, ["k"], 8)
+    tables.merge_into(spark, folder, updates, ["k"], 8)
+    stored = spark.read.parquet(folder)
+    assert content(stored) == expected
+    assert stored.where(stored[tables.BUCKET] != tables.key_bucket(["k"], 8)).count() == 0

@@ -141,3 +141,12 @@ def test_small_merge_does_not_shuffle_the_table(spark, folder):
     plan = tables._split_merge(base, changes, ["id"], [])._jdf.queryExecution().executedPlan().toString()
     above_scan = plan[: plan.index("FileScan parquet")]
     assert "BroadcastHashJoin" in above_scan and "Exchange hashpartitioning" not in above_scan.split("BroadcastHashJoin")[0]
+
+
+def test_merge_refuses_another_layout(spark, folder):
+    path = f"{folder}/t"
+    tables.write_bucketed(spark.range(500).selectExpr("id", "'a' AS v"), path, ["id"], 8)
+    changes = spark.range(400, 600).selectExpr("id", "'b' AS v")
+    with pytest.raises(Exception, match="not laid out in 16 buckets"):
+        tables.merge_into(spark, path, changes, ["id"], 16)
+    assert tables.read_bucketed(spark, path).where("v = 'b'").count() == 0

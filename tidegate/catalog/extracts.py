@@ -24,7 +24,8 @@ from tidegate.plans.export import payroll_export, primary_aliases
 from tidegate.sinks import ledger
 from tidegate.sinks.tables import transform
 from tidegate.sinks.targets import CHUNK, chunk_of
-from tidegate.sources.tables import id_values, keyset
+from tidegate.sources.tables import id_list, id_values, keyset
+from tidegate.workspace import scratch_path
 
 ORDERED = ", ".join(
     f"{c} DESC NULLS LAST"
@@ -143,6 +144,16 @@ def filter_exclude_ids(spark, sf_dir):
     return filter_by_ids(table(spark, sf_dir, "customer"), "c_nationkey", _nations(spark, sf_dir, "ASIA"), "exclude")
 
 
+@query(f"SELECT * FROM supplier WHERE s_nationkey IN {ASIA}")
+def filter_by_list_file(spark, sf_dir):
+    """Ids kept in a text file, one per line with a trailing comma."""
+    path = scratch_path(spark, "ids")
+    listed = spark.createDataFrame([(n,) for n in _nations(spark, sf_dir, "ASIA")], "id int")
+    listed.select(F.concat(F.lit(" "), F.col("id").cast("string"), F.lit(","))).write.text(path)
+    ids = id_list(spark, path, required=True)
+    return filter_by_relation(table(spark, sf_dir, "supplier"), "s_nationkey", ids, "id", "include")
+
+
 @query("SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'O''BRIEN', ' MACHINERY')")
 def filter_include_codes(spark, sf_dir):
     return filter_by_ids(table(spark, sf_dir, "customer"), "c_mktsegment", ["BUILDING", "O'BRIEN", " MACHINERY"])

@@ -61,6 +61,21 @@ def incremental_load_raw_merge(spark, sf_dir):
     return read_bucketed(spark, entity.raw_replica).withColumn("watermark_kept", F.lit(kept))
 
 
+def _batch_sql(low: str, high: str) -> str:
+    batch = f"(SELECT * FROM events WHERE ts >= TIMESTAMP '{low}' AND ts < TIMESTAMP '{high}')"
+    return LATEST.format(keys="user_id", events=batch)
+
+
+@query(f"{_batch_sql('2024-01-01', '2024-01-15')} UNION ALL {_batch_sql('2024-01-15', '2024-02-01')}")
+def daily_append_load(spark, sf_dir):
+    """Daily increments that are appended, each deduped by itself."""
+    folder, events = scratch_path(spark, "append"), table(spark, sf_dir, "events")
+    entity = _entity(folder, keys=["user_id"], grain="DAILY", append_daily=True)
+    for until in ("2024-01-15", "2024-02-01"):
+        lake.load(spark, entity, events.where(F.col("ts") < until), "transactional", f"{folder}/ledger", AS_OF)
+    return lake.current_state(spark, entity)
+
+
 @query(LATEST.format(keys="user_id", events="(SELECT * FROM events WHERE event_type <> 'error')"))
 def full_refresh(spark, sf_dir):
     """A daily load after an older one: the table is replaced, the transform drops error events."""

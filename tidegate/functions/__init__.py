@@ -10,5 +10,6 @@ from tidegate.functions.columns import (  # noqa: F401
     key_bucket,
     primary_alias,
     safe_cast,
+    timestamp_literal,
     with_suffix,
 )

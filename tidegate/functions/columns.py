@@ -36,6 +36,11 @@ def effective_change_time(updated: str | Column, created: str | Column) -> Colum
     return F.coalesce(_col(updated), _col(created))
 
 
+def timestamp_literal(value: dt.datetime) -> Column:
+    """A time without a zone as a timestamp of the session's zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp")
+
+
 def format_watermark(ts: str | Column, digits: int = 6) -> Column:
     """Timestamp as text with a fixed number of fraction digits (3 or 6)."""
     return F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss." + "S" * digits)

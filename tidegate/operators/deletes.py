@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.functions import KEY_BUCKETS, key_bucket
+from tidegate.functions import KEY_BUCKETS, key_bucket, timestamp_literal
 from tidegate.operators.dedupe import distinct_keys
 from tidegate.operators.filters import not_soft_deleted
 from tidegate.operators.membership import exclude_keys, without_held
@@ -70,7 +70,7 @@ def missing_keys_full(held: DataFrame, history: DataFrame, source: DataFrame, ke
 
 def merge_snapshot(snapshot: DataFrame, source: DataFrame, key: str, as_of: dt.datetime) -> DataFrame:
     """Key snapshot with the last-seen time of every source key moved to ``as_of``."""
-    seen = source.select(F.col(key), F.lit(as_of).cast(snapshot.schema[SNAPSHOT_TS].dataType).alias(SNAPSHOT_TS))
+    seen = source.select(F.col(key), timestamp_literal(as_of).cast(snapshot.schema[SNAPSHOT_TS].dataType).alias(SNAPSHOT_TS))
     return update_columns(snapshot, seen, [key], [SNAPSHOT_TS])
 
 
@@ -82,8 +82,9 @@ def new_events(
     The bucket follows from the key, so the key alone decides whether an event exists.
     """
     bucket = bucket_column(key)
-    fresh = without_held(distinct_keys(candidates, [key]), events, [key])
-    stamped = fresh.withColumn(DETECTED_TS, F.lit(as_of).cast("timestamp"))
+    typed = candidates.select(F.col(key).cast(events.schema[key].dataType).alias(key))
+    fresh = without_held(distinct_keys(typed, [key]), events, [key])
+    stamped = fresh.withColumn(DETECTED_TS, timestamp_literal(as_of))
     if bucket not in events.columns:
         return stamped
     return stamped.select(
@@ -110,7 +111,7 @@ def retract_events(events: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 def bucketed_layout(events: DataFrame, key: str, as_of: dt.datetime, buckets: int = KEY_BUCKETS) -> DataFrame:
     """Rows of an old event table in the bucketed layout: NULL keys dropped, missing times filled."""
-    detected = F.coalesce(F.col(DETECTED_TS), F.lit(as_of).cast("timestamp"))
+    detected = F.coalesce(F.col(DETECTED_TS), timestamp_literal(as_of))
     kept = events.where(F.col(key).isNotNull())
     return kept.select(
         key, key_bucket([key], buckets).alias(bucket_column(key)), detected.alias(DETECTED_TS), F.to_date(detected).alias(DETECTED_DATE)

@@ -8,6 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.operators.dedupe import distinct_keys
 from tidegate.operators.names import comparable_columns, not_null, resolve
@@ -19,24 +20,39 @@ SPREAD = "__spread"
 MODES = ("include", "exclude")
 
 
-def spread_of(keys: Sequence[str], others: Sequence[str] = ()) -> Column:
-    """Hash of a key; of the other columns where a key column is NULL."""
-    by_key = F.xxhash64(*[F.col(k) for k in keys])
+def spread_of(
+    keys: Sequence[str], others: Sequence[str] = (), peers: Sequence[T.DataType] | None = None
+) -> Column:
+    """Hash of a key; of the other columns where a key column is NULL.
+
+    A hash depends on the type, so where the other side of a join has other key types, ``peers``,
+    both sides hash the type that Spark compares them in.
+    """
+    values = [F.col(k) for k in keys]
+    typed = [F.coalesce(v, F.lit(None).cast(p)) for v, p in zip(values, peers, strict=True)] if peers else values
+    by_key = F.xxhash64(*typed)
     if not others:
         return by_key
-    has_null = reduce(or_, [F.col(k).isNull() for k in keys])
+    has_null = reduce(or_, [v.isNull() for v in values])
     return F.when(has_null, F.xxhash64(*[F.col(c) for c in others])).otherwise(by_key)
 
 
 def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on equally named ``keys`` in which rows with a NULL key, which never match, are spread
-    over all tasks by their other columns instead of meeting in one. A side that has the spread
-    column already, because it was grouped by it, is not shuffled again."""
-
-    def spread(df: DataFrame) -> DataFrame:
-        return df if SPREAD in df.columns else df.withColumn(SPREAD, spread_of(keys, comparable_columns(df, keys)))
-
-    return spread(left).join(spread(right), [*keys, SPREAD], how).drop(SPREAD)
+    over all tasks by their other columns instead of meeting in one. A right side that has the
+    spread column already, because it was grouped by it, is not shuffled again; its key types must
+    be those of the left side."""
+    types = [[df.schema[k].dataType for k in keys] for df in (left, right)]
+    same = types[0] == types[1]
+
+    def spread(df: DataFrame, peers: list[T.DataType]) -> DataFrame:
+        return df.withColumn(SPREAD, spread_of(keys, comparable_columns(df, keys), None if same else peers))
+
+    if SPREAD not in right.columns:
+        right = spread(right, types[0])
+    elif not same:
+        raise ValueError(f"key types differ: {types[0]} and {types[1]}")
+    return spread(left, types[1]).join(right, [*keys, SPREAD], how).drop(SPREAD)
 
 
 def key_join(df: DataFrame, members: DataFrame, keys: Sequence[str], how: str, unique: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate.operators.dedupe import dedupe_latest
 from tidegate.operators.membership import SPREAD, exclude_keys, include_keys, spread_join, spread_of, without_held
-from tidegate.operators.names import not_null, resolve
+from tidegate.operators.names import align, not_null, resolve
 
 MATCHED = "__matched"
 HELD = "__held"
@@ -41,7 +41,7 @@ def upsert(
     keys = resolve(base, keys)
     if not keys:
         raise ValueError("a merge needs at least one key")
-    updates = updates.select(*base.columns)
+    updates = align(updates, base.schema)
     update_keys = updates.select(*keys) if updates_are_unique else unique_keys(updates, keys)
     if base_is_unique:
         return spread_join(base, update_keys, keys, "left_anti").select(*base.columns).unionByName(updates)
@@ -60,7 +60,7 @@ def merge_latest(base: DataFrame, updates: DataFrame, keys: Sequence[str], order
     Unlike `upsert` this does not depend on the order in which batches arrive, so replayed and late
     batches are harmless.
     """
-    return dedupe_latest(base.unionByName(updates.select(*base.columns)), keys, order)
+    return dedupe_latest(base.unionByName(align(updates, base.schema)), keys, order)
 
 
 def absent_rows(existing_keys: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,7 +71,7 @@ def absent_rows(existing_keys: DataFrame, batch: DataFrame, keys: Sequence[str])
 
 def insert_absent(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``base`` plus the rows of ``batch`` whose key it does not hold."""
-    return base.unionByName(absent_rows(base, batch.select(*base.columns), keys))
+    return base.unionByName(absent_rows(base, align(batch, base.schema), keys))
 
 
 def update_columns(base: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -79,7 +79,7 @@ def update_columns(base: DataFrame, updates: DataFrame, keys: Sequence[str], col
     keys = resolve(base, keys)
     columns = resolve(base, columns)
     ours, theirs = (F.struct(*[F.col(c) for c in base.columns if c not in keys]).alias(side) for side in (HELD, MATCHED))
-    joined = spread_join(base.select(*keys, ours), updates.select(*base.columns).select(*keys, theirs), keys, "full")
+    joined = spread_join(base.select(*keys, ours), align(updates, base.schema).select(*keys, theirs), keys, "full")
 
     def value(name: str) -> Column:
         first, second = (MATCHED, HELD) if name in columns else (HELD, MATCHED)

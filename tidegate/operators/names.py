@@ -31,6 +31,13 @@ def not_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df
 
 
+def align(df: DataFrame, target: T.StructType) -> DataFrame:
+    """The columns of ``target``, in its order and with its types."""
+    kinds = {f.name: f.dataType for f in df.select(*target.fieldNames()).schema.fields}
+    columns = [F.col(f.name) if kinds[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields]
+    return df.select(*columns)
+
+
 def comparable(data_type: T.DataType) -> bool:
     """Whether values of a type can be ordered and hashed (maps and variants cannot)."""
     if isinstance(data_type, T.ArrayType):

@@ -17,6 +17,7 @@ from tidegate.sinks.tables import (
     merge_into,
     publish,
     read_bucketed,
+    replace_bucketed,
     replicate,
     restore_table,
     transform,
@@ -71,7 +72,8 @@ def load(
     name = ledger.ledger_name(spec.name, spec.ledger_name)
     last = None
     rows = source
-    restore_table(spark, spec.raw_path)
+    for path in (spec.raw_path, spec.current_path):
+        restore_table(spark, path)
     if incremental:
         held = spark.read.parquet(spec.raw_path) if exists(spark, spec.raw_path) else None
         last = ledger.last_watermark(spark, ledger_path, name, held, spec.watermark)
@@ -94,7 +96,7 @@ def load(
     elif raw_mode == "merge":
         raw_touched = merge_into(spark, spec.raw_path, batch.df, spec.keys, spec.buckets, staged=True)
     elif spec.raw_merge:
-        write_bucketed(batch.df, spec.raw_path, spec.keys, spec.buckets)
+        replace_bucketed(spark, batch.df, spec.raw_path, spec.keys, spec.buckets)
     else:
         write_table(batch.df, spec.raw_path, raw_mode)
     if spec.raw_replica:
@@ -106,11 +108,11 @@ def load(
         write_bucketed(batch.df, spec.current_path, spec.keys, spec.buckets, "append")
     elif grain == "DAILY":
         current_mode = "overwrite"
-        write_bucketed(batch.df, spec.current_path, spec.keys, spec.buckets)
+        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, spec.buckets)
     elif not exists(spark, spec.current_path):
         current_mode = "overwrite"
         first = _one_per_key(spec, source) if incremental else batch.df
-        write_bucketed(first, spec.current_path, spec.keys, spec.buckets)
+        replace_bucketed(spark, first, spec.current_path, spec.keys, spec.buckets)
     else:
         current_mode = "merge"
         touched = merge_into(spark, spec.current_path, batch.df, spec.keys, spec.buckets, staged=True)
@@ -131,6 +133,7 @@ def backfill(
 ) -> LoadResult:
     """Reload one range of the source and upsert it into the current state. The ledger is left alone."""
     spec.check("historical")
+    restore_table(spark, spec.current_path)
     batch = _stage_batch(spec, between_bounds(source, column, low, high))
     count = batch.metrics["rows"]
     if count == 0:
@@ -141,7 +144,7 @@ def backfill(
         current_mode = "merge"
         touched = merge_into(spark, spec.current_path, batch.df, spec.keys, spec.buckets, staged=True)
     else:
-        write_bucketed(batch.df, spec.current_path, spec.keys, spec.buckets)
+        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, spec.buckets)
     if spec.current_replica:
         replicate(spark, spec.current_path, spec.current_replica, touched)
     release(spark, batch.path)

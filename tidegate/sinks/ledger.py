@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.functions import EPOCH
+from tidegate.functions import EPOCH, timestamp_literal
 from tidegate.operators.names import resolve
 from tidegate.workspace import exists
 
@@ -71,10 +71,10 @@ def append(
         return False
     row = spark.range(1).select(
         F.lit(name).alias("TABLE_NAME"),
-        F.lit(as_of.isoformat(sep=" ")).cast("timestamp").alias("LOAD_DATE"),
+        timestamp_literal(as_of).alias("LOAD_DATE"),
         F.lit("Y" if complete else "N").alias("LOAD_COMPLETE_FLAG"),
         F.lit(rows).cast("bigint").alias("ROW_COUNT"),
-        F.lit(watermark.isoformat(sep=" ")).cast("timestamp").alias("LAST_LOAD_TIMESTAMP"),
+        timestamp_literal(watermark).alias("LAST_LOAD_TIMESTAMP"),
     )
     row.write.mode("append").parquet(path)
     return True

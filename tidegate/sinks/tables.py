@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidegate.functions import KEY_BUCKETS, key_bucket
 from tidegate.operators.deletes import bucket_column, bucketed_layout
 from tidegate.operators.merge import merge_latest, unique_keys, upsert
-from tidegate.operators.names import comparable_columns
+from tidegate.operators.names import align, comparable_columns
 from tidegate.workspace import exists, hadoop_path, release, rename, stage
 
 BUCKET = "__bucket"
@@ -56,6 +56,16 @@ def write_bucketed(
     return write_table(placed, path, mode, partition_by=[BUCKET])
 
 
+def replace_bucketed(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS) -> dict:
+    """Write a whole bucketed table beside its place and swap it in, so that a run that dies leaves
+    either the old table or none, never a part."""
+    new = f"{path}__new"
+    release(spark, new)
+    metrics = write_bucketed(df, new, keys, buckets)
+    publish(spark, new, path)
+    return metrics
+
+
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET)
 
@@ -88,6 +98,14 @@ def _split_merge(base: DataFrame, changes: DataFrame, keys: Sequence[str], order
     return untouched.unionByName(by_bucket(changes, BUCKET))
 
 
+def _placed(base: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The same rows; reading one that is in another bucket than its key says is an error, as it
+    shows that the table was written with other keys or another number of buckets."""
+    strayed = F.col(BUCKET) != key_bucket(keys, buckets)
+    message = F.lit(f"table is not laid out in {buckets} buckets of {list(keys)}")
+    return base.where(F.when(strayed, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -110,13 +128,15 @@ def merge_into(
     broadcast threshold, the table's rows are not shuffled at all; beyond it both sides are joined
     by shuffle. Files added by small merges are gathered by `compact`.
     """
-    changes = updates.withColumn(BUCKET, key_bucket(keys, buckets))
+    table = spark.read.parquet(path)
+    held = T.StructType([f for f in table.schema.fields if f.name != BUCKET])
+    changes = align(updates, held).withColumn(BUCKET, key_bucket(keys, buckets))
     copy = None if staged else stage(changes, "updates")
     changes = changes if copy is None else copy.df
     sizes = changes.groupBy(BUCKET).agg(F.sum(_key_bytes(changes, keys)).alias("bytes")).collect()
     touched = sorted(row[BUCKET] for row in sizes)
     if touched:
-        base = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
+        base = _placed(table.where(F.col(BUCKET).isin(touched)), keys, buckets)
         changes = changes.select(*base.columns)
         if sum(row["bytes"] for row in sizes) <= _broadcast_limit(spark):
             merged = _split_merge(base, changes, keys, order)

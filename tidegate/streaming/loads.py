@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegate.functions import KEY_BUCKETS
 from tidegate.operators.dedupe import dedupe_latest
 from tidegate.sinks import ledger
-from tidegate.sinks.tables import merge_into, write_bucketed
+from tidegate.sinks.tables import merge_into, replace_bucketed, restore_table
 from tidegate.workspace import exists, release, stage
 
 
@@ -37,10 +37,11 @@ def upsert_batch(
         stamp = F.max(F.col(watermark or order[0]).cast("timestamp_ntz")).alias("watermark")
         latest = stage(dedupe_latest(batch, keys, order), "batch", F.count(F.lit(1)).alias("rows"), stamp)
         if latest.metrics["rows"]:
+            restore_table(spark, target)
             if exists(spark, target):
                 merge_into(spark, target, latest.df, keys, buckets, order, staged=True)
             else:
-                write_bucketed(latest.df, target, keys, buckets)
+                replace_bucketed(spark, latest.df, target, keys, buckets)
             if ledger_path:
                 entry = f"{name}#{batch_id}"
                 done = ledger.read(spark, ledger_path).where(F.col("TABLE_NAME") == entry)
