@@ -80,3 +80,7 @@ def test_decimal_keys_match_integer_rows(spark, graph):
 def test_entity_names(graph):
     found = role_frames({"TripSource": graph["trip"], "Trip": graph["trip_stop"], "Other": graph["route"]})
     assert found == {"trip": graph["trip_stop"]}
+
+
+def test_empty_route_list_removes_nothing(spark, graph):
+    assert exclude_routes(graph, graph, routes(spark, 1).limit(0)) == graph

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegate.catalog.registry import query, table
 from tidegate.operators import deletes
-from tidegate.plans.reconcile import DeleteTables, detect
+from tidegate.plans.reconcile import DeleteTables, active_view, detect
 from tidegate.sinks import tables
 from tidegate.workspace import scratch_path
 
@@ -133,3 +133,16 @@ def delete_detection_runs(spark, sf_dir):
     for _ in range(2):
         detect(spark, state, _source(spark, sf_dir), current, AS_OF, "full", lines)
     return _shown(spark.read.parquet(state.current_events))
+
+
+@query(
+    f"SELECT o_orderstatus, count(*) AS orders FROM orders WHERE o_orderkey NOT IN ({MISSING}) GROUP BY o_orderstatus"
+)
+def active_view_sql(spark, sf_dir):
+    """SQL over the view of active rows after one incremental run."""
+    folder = scratch_path(spark, "deletes")
+    state = DeleteTables(f"{folder}/snapshot", f"{folder}/events", f"{folder}/current", KEY)
+    current = _current(spark, sf_dir)
+    detect(spark, state, _source(spark, sf_dir), current, AS_OF)
+    active_view(spark, "active_orders", current, state)
+    return spark.sql("SELECT o_orderstatus, count(*) AS orders FROM active_orders GROUP BY o_orderstatus")

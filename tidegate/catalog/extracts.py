@@ -302,6 +302,13 @@ def effective_change(spark, sf_dir):
     return joined.select("l_orderkey", "l_linenumber", effective_change_time("updated", "o_orderdate").alias("changed"))
 
 
+@query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
+def stage_preview(spark, sf_dir):
+    """The default preview of a completed stage, here of the largest orders."""
+    ranked = table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    return filters.preview(ranked, "", when_unset=100)
+
+
 @query("SELECT * EXCLUDE (l_tax, l_discount) FROM lineitem")
 def column_exclusion(spark, sf_dir):
     return exclude_columns(table(spark, sf_dir, "lineitem"), ["L_TAX", "l_Discount"])

@@ -129,12 +129,6 @@ def rejected(conformed: DataFrame) -> DataFrame:
     return broken.select(F.col("__row").alias("row"), F.array_join(REASONS, "; ").alias("reasons"))
 
 
-def valid_time(column: Column) -> Column:
-    """A time of day as ``HH:mm:ss.SSSSSS`` text, NULL when it is none."""
-    stamp = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), column))
-    return F.date_format(stamp, "HH:mm:ss.SSSSSS")
-
-
 def key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How unique a key is: rows, distinct keys, keys held more than once."""
     per_key = df.groupBy(*resolve(df, keys)).agg(F.count(F.lit(1)).alias("n"))

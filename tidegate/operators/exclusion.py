@@ -143,14 +143,14 @@ def exclude_routes(
     route_ids: DataFrame,
     folder: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Remove excluded routes and everything that hangs on them. ``route_ids`` has one column.
-
-    An empty list removes nothing, so the caller should not apply it (rows with a NULL route id
-    would go as in NOT IN with a list).
-    """
+    """Remove excluded routes and everything that hangs on them. ``route_ids`` has one column; an
+    empty list removes nothing, and otherwise rows with a NULL route id go too, as with NOT IN."""
     folder = folder or scratch_path(route_ids.sparkSession, "excluded")
-    routes = stage(distinct_keys(route_ids, route_ids.columns[:1]), "keys", path=f"{folder}/route").df
-    keys = excluded_keys({"route": routes}, sources, ROUTE_STEPS, folder)
+    listed = distinct_keys(route_ids, route_ids.columns[:1])
+    routes = stage(listed, "keys", F.count(F.lit(1)).alias("n"), path=f"{folder}/route")
+    if not routes.metrics["n"]:
+        return dict(extracts)
+    keys = excluded_keys({"route": routes.df}, sources, ROUTE_STEPS, folder)
     return apply_rules(extracts, keys, ROUTE_RULES)
 
 
