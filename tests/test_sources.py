@@ -138,7 +138,7 @@ def test_small_merge_does_not_shuffle_the_table(spark, folder):
     tables.write_bucketed(spark.range(100).selectExpr("id", "'a' AS v"), path, ["id"], 4)
     base = spark.read.parquet(path)
     changes = spark.createDataFrame([(1, "b")], "id bigint, v string").withColumn(tables.BUCKET, tables.key_bucket(["id"], 4))
-    plan = tables._split_merge(base, changes, ["id"], [])._jdf.queryExecution().executedPlan().toString()
+    plan = tables._split_merge(base, changes, ["id"], [], 4)._jdf.queryExecution().executedPlan().toString()
     above_scan = plan[: plan.index("FileScan parquet")]
     assert "BroadcastHashJoin" in above_scan and "Exchange hashpartitioning" not in above_scan.split("BroadcastHashJoin")[0]
 

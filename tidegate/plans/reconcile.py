@@ -24,6 +24,9 @@ from tidegate.workspace import has_files, matches, release, stage
 
 MODES = ("incremental", "full")
 
+# Up to this many new events one task per bucket is enough.
+FEW_EVENTS = 10_000_000
+
 
 @dataclass(frozen=True)
 class DeleteTables:
@@ -98,7 +101,8 @@ def detect(
     )
     if fresh.metrics["rows"]:
         if bucket in fresh.df.columns:
-            write_table(by_bucket(fresh.df, bucket), tables.events, "append", partition_by=[bucket])
+            tasks = tables.buckets if fresh.metrics["rows"] <= FEW_EVENTS else None
+            write_table(by_bucket(fresh.df, bucket, tasks), tables.events, "append", partition_by=[bucket])
         else:
             write_table(fresh.df, tables.events, "append")
     latest = deletes.latest_events(_events(spark, tables, event_schema), key)

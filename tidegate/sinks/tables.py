@@ -42,10 +42,11 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, parti
     return True
 
 
-def by_bucket(df: DataFrame, bucket: str) -> DataFrame:
+def by_bucket(df: DataFrame, bucket: str, tasks: int | None = None) -> DataFrame:
     """Rows gathered by bucket for writing. Adaptive execution splits large buckets over several
-    tasks and joins small ones, so file sizes follow the advisory partition size."""
-    return df.hint("rebalance", F.col(bucket))
+    tasks and joins small ones, so file sizes follow the advisory partition size. For a change set
+    known to be small, ``tasks`` spreads the buckets evenly, so the files are written side by side."""
+    return df.hint("rebalance", F.col(bucket)) if tasks is None else df.repartition(tasks, F.col(bucket))
 
 
 def write_bucketed(
@@ -81,7 +82,9 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return -1 if setting.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
 
 
-def _split_merge(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _split_merge(
+    base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], tasks: int
+) -> DataFrame:
     """The merge for a change set whose keys are small enough to send to every task.
 
     Base rows of other keys are passed through where they were read, in their buckets; only rows of
@@ -95,7 +98,7 @@ def _split_merge(base: DataFrame, changes: DataFrame, keys: Sequence[str], order
     untouched = base.join(F.broadcast(changed), on, "left_anti")
     if order:
         changes = merge_latest(base.join(F.broadcast(changed), on, "left_semi"), changes, keys, order)
-    return untouched.unionByName(by_bucket(changes, BUCKET))
+    return untouched.unionByName(by_bucket(changes, BUCKET, tasks))
 
 
 def _placed(base: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -139,7 +142,7 @@ def merge_into(
         base = _placed(table.where(F.col(BUCKET).isin(touched)), keys, buckets)
         changes = changes.select(*base.columns)
         if sum(row["bytes"] for row in sizes) <= _broadcast_limit(spark):
-            merged = _split_merge(base, changes, keys, order)
+            merged = _split_merge(base, changes, keys, order, len(touched))
         else:
             merged = by_bucket(merge_latest(base, changes, keys, order) if order else upsert(base, changes, keys), BUCKET)
         writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
