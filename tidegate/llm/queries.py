@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import licenses
+from tidegate.llm import licenses, mixing, sentencepiece
 from tidegate.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,3 +20,18 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op1_license_scan"] = op1_license_scan
 SQL["op1_license_scan"] = licenses.scan_sql()
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op4_sentencepiece"] = op4_sentencepiece
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.allot(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_mixing"] = op7_mixing
+SQL["op7_mixing"] = mixing.allot_sql()
