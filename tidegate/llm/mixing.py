@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.workspace import stage
+
 WORD = r"[^\x20\x09-\x0D]+"
 # The weights, repeating over the sources in order, and the most repetitions.
 WEIGHTS, CAP = (5, 2, 1), 3
@@ -81,7 +83,9 @@ def allot(
         F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")).alias("__name"),
         *([F.struct(*carry).alias("__carry")] if carry else []),
     ).withColumn("__part", F.substring("__order", 1, PART_DIGITS))
-    parts = rows.groupBy("__name", "source", "__part").agg(F.sum("size").alias("__size"))
+    # Sizes are read several times but counted once; carried columns are not written for that.
+    measured = stage(rows.drop("__carry"), "mixing").df
+    parts = measured.groupBy("__name", "source", "__part").agg(F.sum("size").alias("__size"))
     # Parts of a source: 16^3 rows at most, whatever the source holds.
     before = Window.partitionBy("__name").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("__name", "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
@@ -94,7 +98,7 @@ def allot(
     rest = F.when(F.col("__full"), F.lit(0)).otherwise(F.floor(F.col("target")) - F.col("__whole") * F.col("source_size"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("__rest") - F.col("__before") - F.col("__ahead")))
     taken = (
-        rows.withColumn("__ahead", ahead)
+        (rows if carry else measured).withColumn("__ahead", ahead)
         .join(plan, ["__name", "__part"])
         .withColumn("__whole", whole)
         .withColumn("__rest", rest.cast("long"))
