@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import licenses, mixing, sentencepiece
+from tidegate.llm import licenses, lines, merkle, minhash, mixing, neighbours, pii, secrets, sentencepiece, toxicity
 from tidegate.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +36,61 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op7_mixing"] = op7_mixing
 SQL["op7_mixing"] = mixing.allot_sql()
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(documents).select("doc_id", "n_lines", "n_deleted", "text")
+
+
+QUERIES["op2_line_dedup"] = op2_line_dedup
+SQL["op2_line_dedup"] = lines.dedup_sql()
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_secret_scan"] = op5_secret_scan
+SQL["op5_secret_scan"] = secrets.scan_sql()
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_minhash"] = op6_minhash
+SQL["op6_minhash"] = minhash.near_duplicates_sql()
+
+
+def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_edited(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op9_merkle"] = op9_merkle
+SQL["op9_merkle"] = merkle.compare_edited_sql()
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES["op8_toxicity"] = op8_toxicity
+
+
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op10_neighbours"] = op10_neighbours
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op3_pii"] = op3_pii
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
