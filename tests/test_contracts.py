@@ -93,3 +93,21 @@ def test_information_schema(spark):
     contract = Contract.from_information_schema("T", spark.createDataFrame(rows, schema))
     expected = Contract.from_ddl("T", "Id INT NOT NULL, Name VARCHAR(20) NOT NULL, Pay DECIMAL(9,2), Note VARCHAR(2147483647), At TIMESTAMP")
     assert contract == expected
+
+
+def test_extreme_values_are_cast_as_try_cast_does(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from tidegate.functions import safe_cast
+
+    numbers = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (0,), (None,)], "v bigint")
+    doubles = spark.createDataFrame([(float("nan"),), (float("-inf"),), (-99999.99,), (1e300,), (None,)], "v double")
+    texts = spark.createDataFrame([("\ttrue",), ("\x7f no \n",), ("\u00a0true",), ("x",), ("",), (None,)], "v string")
+    cases = [(numbers, "decimal(7,2)"), (numbers, "decimal(15,0)"), (doubles, "decimal(7,2)"), (texts, "boolean")]
+    for df, kind in cases:
+        target = T.StructType.fromDDL(f"v {kind}")["v"].dataType
+        own, plain = df.select(
+            safe_cast(F.col("v"), df.schema["v"].dataType, target).alias("a"), F.col("v").try_cast(kind).alias("b")
+        ).toPandas().T.astype(str).values.tolist()
+        assert own == plain, kind

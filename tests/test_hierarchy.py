@@ -56,7 +56,8 @@ def test_no_seeds(spark):
     assert closure(spark, [(1, None), (2, 1)], []) == set()
 
 
-def test_depth_guard(spark):
-    edges = [(i, i - 1) for i in range(1, 9)] + [(8, 0)]
-    with pytest.raises(RuntimeError, match="deeper"):
-        closure(spark, edges, [1], level_rounds=0, max_rounds=3)
+
+def test_deep_graph_with_several_parents(spark):
+    edges = [(i, p) for i in range(1, 30) for p in {i - 1, max(0, i - 3)}] + [(0, None)]
+    assert closure(spark, edges, [0], level_rounds=2) == set(range(30))
+    assert closure(spark, edges, [25], level_rounds=2) == set(range(25, 30))

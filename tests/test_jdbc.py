@@ -56,6 +56,17 @@ def test_predicate_and_key_scans(spark, customers, loaded):
     assert rows(source.key_scan(spark, loaded, "SELECT * FROM customer", keys, parts)) == expected
 
 
+def test_existing_keys_by_predicates(spark, customers, loaded):
+    parts = ('MOD("c_custkey", 2) = 0', 'MOD("c_custkey", 2) = 1')
+    held = JdbcTarget(loaded, parts).held_keys(spark, "customer", ['"c_custkey"'])
+    assert sorted(r[0] for r in held.collect()) == sorted(r[0] for r in customers.select("c_custkey").distinct().collect())
+
+
+def test_decimal_bounds_are_whole_numbers(spark, loaded):
+    query = 'SELECT CAST("c_acctbal" AS DECIMAL(12,2)) AS A FROM customer'
+    assert source.partitioned_scan(spark, loaded, query, "A", 3).count() == source.row_count(source.scan(spark, loaded, query))
+
+
 def test_truncate_insert(spark, customers, loaded):
     sink.write(customers.limit(3), loaded, "customer", "truncate_insert")
     assert source.scan(spark, loaded, "SELECT * FROM customer").count() == 3

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidegate.operators.membership import (
     exclude_keys,
@@ -66,3 +67,41 @@ def test_key_types_may_differ(spark, kind, other):
     assert values(include_keys(df, members, ["k"])) == ["a"]
     assert values(exclude_keys(df, members, ["k"])) == ["b", "c"]
     assert values(exclude_keys(df, members.distinct(), ["k"], unique=True)) == ["b", "c"]
+
+
+LENGTHS = [1, 2, 1000, 1001, 5000]
+
+
+@pytest.mark.parametrize("length", LENGTHS)
+@pytest.mark.parametrize("kind", ["int", "bigint", "decimal(12,2)", "string"])
+@pytest.mark.parametrize("as_frame", [False, True])
+def test_a_list_means_the_same_at_any_length(spark, length, kind, as_frame):
+    ids = [3, *range(3_000_000_000, 3_000_000_000 + length - 1)]
+    rows = [(1, "3"), (2, "4"), (3, None), (4, "03"), (5, "A7"), (6, " 3"), (7, "3.00"), (8, "3.5")]
+    df = spark.createDataFrame(rows, "n int, t string").select("n", F.col("t").try_cast(kind).alias("k"))
+    given = spark.createDataFrame([(i,) for i in ids], "i bigint") if as_frame else ids
+    inside = sorted(r.n for r in filter_by_ids(df, "k", given).collect())
+    outside = sorted(r.n for r in filter_by_ids(df, "k", given, "exclude").collect())
+    held = {r.n for r in df.where("k IS NOT NULL").collect()}
+    whole = {"int": {1, 4, 6, 7, 8}, "bigint": {1, 4, 6, 7, 8}, "decimal(12,2)": {1, 4, 6, 7}, "string": {1, 4, 6, 7}}[kind]
+    whole &= {r.n for r in df.where("try_cast(k AS double) = 3").collect()}
+    assert set(inside) == whole
+    assert set(outside) == held - whole
+
+
+@pytest.mark.parametrize("length", LENGTHS)
+def test_text_lists_mean_the_same_at_any_length(spark, length):
+    ids = ["3", *[f"x{i}" for i in range(length - 1)]]
+    text = spark.createDataFrame([("3",), ("03",), ("A7",), (None,)], "k string")
+    assert [r.k for r in filter_by_ids(text, "k", ids).collect()] == ["3"]
+    assert sorted(r.k for r in filter_by_ids(text, "k", ids, "exclude").collect()) == ["03", "A7"]
+    numbers = spark.createDataFrame([(3,), (4,), (None,)], "k int")
+    assert [r.k for r in filter_by_ids(numbers, "k", ids).collect()] == [3]
+    assert [r.k for r in filter_by_ids(numbers, "k", ids, "exclude").collect()] == [4]
+
+
+def test_an_empty_frame_of_ids(spark):
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    empty = spark.createDataFrame([], "i int")
+    assert filter_by_ids(df, "k", empty).count() == 0
+    assert filter_by_ids(df, "k", empty, "exclude").count() == 2

@@ -34,6 +34,31 @@ def test_upsert_refuses_repeated_update_keys(spark, unique):
         merge.upsert(base, updates, ["k"], base_is_unique=unique).collect()
 
 
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+@pytest.mark.parametrize("unique", [True, False])
+def test_repeated_keys_are_refused_whatever_the_base_holds(spark, conf, unique, threshold):
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+    updates = frame(spark, [(2, "B"), (2, "C"), (None, "n"), (None, "n")])
+    for base in (frame(spark, []), frame(spark, [(1, "a")]), frame(spark, [(2, "a")])):
+        with pytest.raises(Exception, match="duplicate merge key"):
+            merge.upsert(base, updates, ["k"], base_is_unique=unique).collect()
+        with pytest.raises(Exception, match="duplicate merge key"):
+            merge.update_columns(base, updates, ["k"], ["v"]).collect()
+        with pytest.raises(Exception, match="duplicate merge key"):
+            merge.update_columns(updates, base, ["k"], ["v"]).collect()
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_merge_into_refuses_repeated_keys_before_it_writes(spark, conf, folder, threshold):
+    from tidegate.sinks import tables
+
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+    tables.write_bucketed(frame(spark, [(7, "a")]), folder, ["k"], 64)
+    with pytest.raises(ValueError, match="duplicate merge key"):
+        tables.merge_into(spark, folder, frame(spark, [(1, "x"), (1, "y")]), ["k"], 64)
+    assert content(spark.read.parquet(folder)) == [(7, "a")]
+
+
 def test_upsert_updates_every_row_of_a_repeated_base_key(spark):
     base, updates = frame(spark, [(1, "a"), (1, "b"), (2, "c")]), frame(spark, [(1, None), (3, "d")])
     result = merge.upsert(base, updates, ["k"], base_is_unique=False)

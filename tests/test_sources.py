@@ -1,11 +1,16 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidegate.operators.audit import load_report
 from tidegate.sinks import tables
-from tidegate.sources.tables import id_list, id_values, keyset, read_table, scan, sql_source
+from tidegate.sources.tables import id_list, keyset, read_table, scan, sql_source
 from tidegate.workspace import exists
 
 
+def id_values(ids):
+    return sorted(row[0] for row in ids.collect())
+
+
 @pytest.fixture
 def write(tmp_path):
     def make(name, text):
@@ -29,10 +34,6 @@ def test_id_lists(spark, write, tmp_path):
             id_list(spark, path, required=True)
 
 
-def test_long_lists_stay_frames(spark):
-    with pytest.raises(ValueError, match="join"):
-        id_values(spark.range(11), at_most=10)
-
 
 def test_scans(spark, folder):
     df = spark.createDataFrame([(1,), (None,), (1,)], "K int")
@@ -133,12 +134,12 @@ def test_merge_by_broadcast_and_by_shuffle(spark, folder, conf, limit, order):
         assert sorted(((r.k or "", r.t) for r in tables.read_bucketed(spark, path).collect())) == expected
 
 
-def test_small_merge_does_not_shuffle_the_table(spark, folder):
+def test_small_merge_matches_the_table_where_it_is_read(spark, folder):
     path = f"{folder}/t"
     tables.write_bucketed(spark.range(100).selectExpr("id", "'a' AS v"), path, ["id"], 4)
     base = spark.read.parquet(path)
     changes = spark.createDataFrame([(1, "b")], "id bigint, v string").withColumn(tables.BUCKET, tables.key_bucket(["id"], 4))
-    plan = tables._split_merge(base, changes, ["id"], [], 4)._jdf.queryExecution().executedPlan().toString()
+    plan = tables._split_merge(base, changes, ["id"], [])._jdf.queryExecution().executedPlan().toString()
     above_scan = plan[: plan.index("FileScan parquet")]
     assert "BroadcastHashJoin" in above_scan and "Exchange hashpartitioning" not in above_scan.split("BroadcastHashJoin")[0]
 
@@ -150,3 +151,79 @@ def test_merge_refuses_another_layout(spark, folder):
     with pytest.raises(Exception, match="not laid out in 16 buckets"):
         tables.merge_into(spark, path, changes, ["id"], 16)
     assert tables.read_bucketed(spark, path).where("v = 'b'").count() == 0
+
+
+def test_a_merge_that_dies_while_it_swaps_is_finished_by_the_next_one(spark, folder, monkeypatch):
+    path, schema = f"{folder}/t", "id int, v string"
+    tables.write_bucketed(spark.createDataFrame([(i, "old") for i in range(40)], schema), path, ["id"], 8)
+    changes = spark.createDataFrame([(i, "new") for i in range(0, 60, 2)], schema)
+    real, calls = tables.rename, []
+
+    def dying(session, source, target):
+        if len(calls) == 3:
+            raise KeyboardInterrupt
+        calls.append(target)
+        real(session, source, target)
+
+    monkeypatch.setattr(tables, "rename", dying)
+    with pytest.raises(KeyboardInterrupt):
+        tables.merge_into(spark, path, changes, ["id"])
+    monkeypatch.setattr(tables, "rename", real)
+    expected = {i: "new" if i % 2 == 0 else "old" for i in range(40)} | {i: "new" for i in range(40, 60, 2)}
+    tables.restore_table(spark, path)
+    assert {r.id: r.v for r in spark.read.parquet(path).collect()} == expected
+    tables.merge_into(spark, path, changes, ["id"])
+    assert {r.id: r.v for r in spark.read.parquet(path).collect()} == expected
+
+
+def test_a_merge_costs_what_it_changes(spark, folder):
+    path, schema = f"{folder}/t", "id int, v string"
+    buckets = tables.buckets_for(1024 * 1000, target=1000)
+    assert buckets == 1024
+    tables.write_bucketed(spark.range(20_000).selectExpr("CAST(id AS int) AS id", "'old' AS v"), path, ["id"], buckets)
+    before = set(spark.read.parquet(path).inputFiles())
+    for step in range(3):
+        tables.merge_into(spark, path, spark.createDataFrame([(i * 31, f"s{step}") for i in range(50)], schema), ["id"])
+        if not step:
+            assert len(before & set(spark.read.parquet(path).inputFiles())) >= 0.9 * len(before)
+    assert len(spark.read.parquet(path).inputFiles()) <= len(before)
+    assert spark.read.parquet(path).where("v = 's2'").count() == 50
+    with pytest.raises(ValueError, match="1024"):
+        tables.merge_into(spark, path, spark.createDataFrame([(1, "x")], schema), ["id"], 64)
+
+
+def test_added_columns_are_refused(spark, folder):
+    path = f"{folder}/t"
+    tables.write_table(spark.createDataFrame([(1, "a")], "id int, v string"), path, "append")
+    wider = spark.createDataFrame([(2, "b", 3)], "id int, v string, extra int")
+    with pytest.raises(ValueError, match="extra"):
+        tables.write_table(wider, path, "append")
+    tables.write_bucketed(spark.createDataFrame([(1, "a")], "id int, v string"), f"{path}b", ["id"], 4)
+    with pytest.raises(ValueError, match="extra"):
+        tables.merge_into(spark, f"{path}b", wider, ["id"])
+
+
+def test_replica_of_an_append_gets_new_files_only(spark, folder):
+    path, copy = f"{folder}/t", f"{folder}/copy"
+    first, more = (spark.createDataFrame(rows, "id int, v string") for rows in ([(1, "a")], [(2, "b")]))
+    tables.write_table(first, path, "append")
+    tables.replicate(spark, path, copy, added=first)
+    held = set(spark.read.parquet(copy).inputFiles())
+    tables.write_table(more, path, "append")
+    tables.replicate(spark, path, copy, added=more)
+    assert held < set(spark.read.parquet(copy).inputFiles())
+    assert tables.same_content(spark.read.parquet(path), spark.read.parquet(copy))
+
+
+def test_compaction_keeps_buckets(spark, folder):
+    tables.write_bucketed(spark.range(100).selectExpr("id", "id % 3 AS v"), folder, ["id"], 8)
+    tables.compact(spark, folder, ["id"])
+    assert tables.BUCKET in spark.read.parquet(folder).columns
+    assert tables.held_buckets(spark, folder) == 8
+    assert tables.merge_into(spark, folder, spark.createDataFrame([(1, 9)], "id bigint, v bigint"), ["id"]) != []
+
+
+def test_a_hot_key_is_split_when_clustering(spark):
+    rows = spark.range(4000).selectExpr("IF(id % 10 < 9, 1, id) AS k", "id")
+    parts = tables.cluster_by_key(rows, ["k"], 8).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in parts) < 2000

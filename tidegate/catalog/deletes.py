@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegate.catalog.registry import query, table
 from tidegate.operators import deletes
-from tidegate.plans.reconcile import DeleteTables, active_view, detect
+from tidegate.plans.reconcile import DeleteTables, active_view, detect, optimize
 from tidegate.sinks import tables
 from tidegate.workspace import scratch_path
 
@@ -146,3 +146,15 @@ def active_view_sql(spark, sf_dir):
     detect(spark, state, _source(spark, sf_dir), current, AS_OF)
     active_view(spark, "active_orders", current, state)
     return spark.sql("SELECT o_orderstatus, count(*) AS orders FROM active_orders GROUP BY o_orderstatus")
+
+
+@query(
+    f"SELECT order_key, TIMESTAMP '2002-01-01 22:30:00' AS detected_at, DATE '2002-01-01' AS detected_date FROM ({MISSING})"
+)
+def events_clustered(spark, sf_dir):
+    """Events of one incremental run after their tables have been clustered by key."""
+    folder = scratch_path(spark, "deletes")
+    state = DeleteTables(f"{folder}/snapshot", f"{folder}/events", f"{folder}/current", KEY)
+    detect(spark, state, _source(spark, sf_dir), _current(spark, sf_dir), AS_OF)
+    optimize(spark, state)
+    return _shown(spark.read.parquet(state.events))

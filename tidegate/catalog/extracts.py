@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tidegate.catalog.registry import query, table
 from tidegate.functions import decode, effective_change_time, format_watermark
 from tidegate.operators import filters
-from tidegate.operators.audit import Audited, load_audit
-from tidegate.operators.contracts import REASONS, Contract, accepted, conform, key_report
+from tidegate.operators.audit import Audited, load_audit, load_report
+from tidegate.operators.contracts import REASONS, Contract, accepted, conform, key_report, non_null_keys
 from tidegate.operators.dedupe import dedupe_latest, distinct_keys, union_distinct
 from tidegate.operators.membership import (
     exclude_keys,
@@ -22,9 +22,9 @@ from tidegate.operators.names import exclude_columns
 from tidegate.plans.database import suffix_governed
 from tidegate.plans.export import payroll_export, primary_aliases
 from tidegate.sinks import ledger
-from tidegate.sinks.tables import transform
+from tidegate.sinks.tables import transform, write_table
 from tidegate.sinks.targets import CHUNK, chunk_of
-from tidegate.sources.tables import id_list, id_values, keyset
+from tidegate.sources.tables import id_list, keyset
 from tidegate.workspace import scratch_path
 
 ORDERED = ", ".join(
@@ -125,10 +125,10 @@ def ledger_watermark(spark, sf_dir):
 
 
 def _nations(spark, sf_dir, region):
-    """Nation keys of a region: a governance list, bounded by the number of nations."""
+    """Nation keys of a region: a governance list."""
     regions = table(spark, sf_dir, "region").where(F.col("r_name") == region)
     nations = table(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
-    return id_values(nations.select("n_nationkey"))
+    return nations.select("n_nationkey")
 
 
 ASIA = "(SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA')"
@@ -148,12 +148,39 @@ def filter_exclude_ids(spark, sf_dir):
 def filter_by_list_file(spark, sf_dir):
     """Ids kept in a text file, one per line with a trailing comma."""
     path = scratch_path(spark, "ids")
-    listed = spark.createDataFrame([(n,) for n in _nations(spark, sf_dir, "ASIA")], "id int")
-    listed.select(F.concat(F.lit(" "), F.col("id").cast("string"), F.lit(","))).write.text(path)
+    listed = F.concat(F.lit(" "), F.col("n_nationkey").cast("string"), F.lit(","))
+    _nations(spark, sf_dir, "ASIA").select(listed).write.text(path)
     ids = id_list(spark, path, required=True)
     return filter_by_relation(table(spark, sf_dir, "supplier"), "s_nationkey", ids, "id", "include")
 
 
+BUILDERS = "(SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')"
+
+
+def _many_customers(spark, sf_dir):
+    return table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING").select("c_custkey")
+
+
+@query(f"SELECT * FROM orders WHERE o_custkey IN {BUILDERS}")
+def filter_include_many_ids(spark, sf_dir):
+    """A list of more ids than one predicate may hold stays a frame."""
+    return filter_by_ids(table(spark, sf_dir, "orders"), "o_custkey", _many_customers(spark, sf_dir), "include")
+
+
+@query(f"SELECT * FROM orders WHERE o_custkey NOT IN {BUILDERS}")
+def filter_exclude_many_ids(spark, sf_dir):
+    return filter_by_ids(table(spark, sf_dir, "orders"), "o_custkey", _many_customers(spark, sf_dir), "exclude")
+
+
+@query(f"SELECT * FROM supplier WHERE s_nationkey IN {ASIA}")
+def id_list_json(spark, sf_dir):
+    """Ids kept as an array in a JSON file."""
+    path = f"{scratch_path(spark, 'ids')}.json"
+    nations = _nations(spark, sf_dir, "ASIA").agg(F.collect_list("n_nationkey").alias("route_ids"))
+    nations.coalesce(1).write.json(path)
+    return filter_by_relation(table(spark, sf_dir, "supplier"), "s_nationkey", id_list(spark, path, required=True), "id")
+
+
 @query("SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'O''BRIEN', ' MACHINERY')")
 def filter_include_codes(spark, sf_dir):
     return filter_by_ids(table(spark, sf_dir, "customer"), "c_mktsegment", ["BUILDING", "O'BRIEN", " MACHINERY"])
@@ -399,6 +426,40 @@ def key_uniqueness(spark, sf_dir):
     return key_report(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query(
+    "SELECT count(*) AS row_count, count(DISTINCT customer) AS key_count FROM "
+    "(SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS customer FROM orders)"
+)
+def distinct_key_count(spark, sf_dir):
+    """Rows and distinct non-NULL keys."""
+    customer = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("customer")
+    return non_null_keys(table(spark, sf_dir, "orders").select(customer), ["customer"])
+
+
+@query("SELECT o_orderkey AS \"OrderId\", o_orderstatus AS \"Status\" FROM orders")
+def column_contract(spark, sf_dir):
+    """Rows whose columns have been checked against a contract; other columns are refused."""
+    contract = Contract.from_sql_server("Order", ORDER_COLUMNS[:2], keys=["OrderId"])
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("OrderId"), F.col("o_orderstatus").alias("Status"))
+    contract.check_columns(orders)
+    try:
+        contract.check_columns(orders.select("Status", "OrderId"))
+    except ValueError:
+        return orders
+    raise AssertionError("a wrong order of columns was accepted")
+
+
+@query(
+    "SELECT 'customer' AS entity_name, count(*) AS row_count FROM customer UNION ALL SELECT 'orders', count(*) FROM orders"
+)
+def load_report_counts(spark, sf_dir):
+    """Report of a stage whose counts were taken while it was written."""
+    counts = {}
+    for name in ("orders", "customer"):
+        counts[name] = write_table(table(spark, sf_dir, name), scratch_path(spark, name), "overwrite")["rows"]
+    return load_report(spark, counts)
+
+
 def _audit_sql(name: str, keys: str, stamp: str) -> str:
     return (
         f"SELECT '{name}' AS entity_name, CAST(sum(n) AS BIGINT) AS row_count, count(*) AS key_count, count(*) FILTER (n > 1) "

@@ -178,7 +178,7 @@ def route_exclusion(spark, sf_dir):
 
 
 BY_CODE = TRIP_SETS.format(seed="TRIP_CD IN ('1-URGENT')")
-BY_BOTH = TRIP_SETS.format(seed="TRIP_CD IN ('O_02') OR TRIP_ID IN (2, 3, 5)")
+BY_BOTH = TRIP_SETS.format(seed="TRIP_CD IN ('1-URGENT') OR TRIP_ID IN (2, 3, 5)")
 
 
 @query(f"WITH RECURSIVE {RELATIONS_SQL}, {BY_CODE} {_kept_sql(TRIP_KEEP)}")
@@ -191,4 +191,4 @@ def trip_exclusion_codes_first(spark, sf_dir):
 def route_then_trip_exclusion(spark, sf_dir):
     sources = _sources(spark, sf_dir)
     kept = exclude_routes(sources, sources, _excluded_routes(spark, sf_dir))
-    return _survivors(exclude_trips(kept, sources, ["O_02"], [2, 3, 5]))
+    return _survivors(exclude_trips(kept, sources, ["1-URGENT"], [2, 3, 5]))

@@ -36,13 +36,18 @@ def _entity(folder: str, **changes) -> LakeEntity:
     return LakeEntity(**settings | changes)
 
 
+def _until(events, time):
+    """The events a growing source holds before ``time``; in the end all of them."""
+    return events if time is None else events.where(F.col("ts") < time)
+
+
 @query(LATEST.format(keys="user_id, event_type", events="events"))
 def incremental_load(spark, sf_dir):
     """Three hourly runs over a growing source; raw grows by append, the current state by merge."""
     folder, events = scratch_path(spark, "load"), table(spark, sf_dir, "events")
     entity = _entity(folder)
-    for until in ("2024-01-10", "2024-01-20", "2024-02-01"):
-        lake.load(spark, entity, events.where(F.col("ts") < until), "transactional", f"{folder}/ledger", AS_OF)
+    for until in ("2024-01-10", "2024-01-20", None):
+        lake.load(spark, entity, _until(events, until), "transactional", f"{folder}/ledger", AS_OF)
     return lake.current_state(spark, entity)
 
 
@@ -54,28 +59,38 @@ def incremental_load_raw_merge(spark, sf_dir):
     """The same with a merged and replicated raw table; shows the replica and checks the ledger."""
     folder, events = scratch_path(spark, "load"), table(spark, sf_dir, "events")
     entity = _entity(folder, raw_merge=True, raw_replica=f"{folder}/raw2", current_replica=f"{folder}/current2")
-    for until in ("2024-01-15", "2024-02-01"):
-        lake.load(spark, entity, events.where(F.col("ts") < until), "transactional", f"{folder}/ledger", AS_OF)
+    for until in ("2024-01-15", None):
+        lake.load(spark, entity, _until(events, until), "transactional", f"{folder}/ledger", AS_OF)
     seen = ledger.last_watermark(spark, f"{folder}/ledger", "Event")
     kept = seen == ledger.max_watermark(events, "ts")
     return read_bucketed(spark, entity.raw_replica).withColumn("watermark_kept", F.lit(kept))
 
 
-def _batch_sql(low: str, high: str) -> str:
-    batch = f"(SELECT * FROM events WHERE ts >= TIMESTAMP '{low}' AND ts < TIMESTAMP '{high}')"
+def _batch_sql(test: str) -> str:
+    batch = f"(SELECT * FROM events WHERE ts {test} TIMESTAMP '2024-01-15')"
     return LATEST.format(keys="user_id", events=batch)
 
 
-@query(f"{_batch_sql('2024-01-01', '2024-01-15')} UNION ALL {_batch_sql('2024-01-15', '2024-02-01')}")
+@query(f"{_batch_sql('<')} UNION ALL {_batch_sql('>=')}")
 def daily_append_load(spark, sf_dir):
     """Daily increments that are appended, each deduped by itself."""
     folder, events = scratch_path(spark, "append"), table(spark, sf_dir, "events")
     entity = _entity(folder, keys=["user_id"], grain="DAILY", append_daily=True)
-    for until in ("2024-01-15", "2024-02-01"):
-        lake.load(spark, entity, events.where(F.col("ts") < until), "transactional", f"{folder}/ledger", AS_OF)
+    for until in ("2024-01-15", None):
+        lake.load(spark, entity, _until(events, until), "transactional", f"{folder}/ledger", AS_OF)
     return lake.current_state(spark, entity)
 
 
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def replica_append(spark, sf_dir):
+    """Appended raw history whose replica gets only what each load appends."""
+    folder, events = scratch_path(spark, "load"), table(spark, sf_dir, "events")
+    entity = _entity(folder, keys=["event_id"], raw_replica=f"{folder}/raw2")
+    for until in ("2024-01-15", None):
+        lake.load(spark, entity, _until(events, until), "transactional", f"{folder}/ledger", AS_OF)
+    return spark.read.parquet(entity.raw_replica)
+
+
 @query(LATEST.format(keys="user_id", events="(SELECT * FROM events WHERE event_type <> 'error')"))
 def full_refresh(spark, sf_dir):
     """A daily load after an older one: the table is replaced, the transform drops error events."""
@@ -83,8 +98,8 @@ def full_refresh(spark, sf_dir):
     entity = _entity(
         folder, keys=["user_id"], incremental=False, transform="SELECT * FROM event WHERE event_type <> 'error'"
     )
-    for until in ("2024-01-15", "2024-02-01"):
-        lake.load(spark, entity, events.where(F.col("ts") < until), "daily", f"{folder}/ledger", AS_OF)
+    for until in ("2024-01-15", None):
+        lake.load(spark, entity, _until(events, until), "daily", f"{folder}/ledger", AS_OF)
     return lake.current_state(spark, entity)
 
 
@@ -175,8 +190,8 @@ def append_absent_load(spark, sf_dir):
         incremental=True,
         write_enabled=True,
     )
-    for mode, until in (("transactional", "2024-01-16"), ("transactional", "2024-02-01"), ("daily", "2024-02-01")):
-        source = events.where(F.col("ts") < until)
+    for mode, until in (("transactional", "2024-01-16"), ("transactional", None), ("daily", None)):
+        source = _until(events, until)
         database.load(spark, entity, source, target, mode, f"{target.root}/ledger", AS_OF)
     return spark.read.parquet(target.path(entity.table))
 
@@ -202,9 +217,9 @@ def load_summary(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir, folder):
-    """The events as a stream of files: written once as six files in time order, read two at a time."""
+    """The events as a stream of files: written once in time order, read two at a time."""
     events = table(spark, sf_dir, "events")
-    events.repartitionByRange(6, "ts").write.parquet(f"{folder}/input")
+    events.repartitionByRange("ts").write.parquet(f"{folder}/input")
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/input")
 
 

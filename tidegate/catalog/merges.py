@@ -80,8 +80,8 @@ def upsert_repeated_base(spark, sf_dir):
 )
 def incremental_equals_full(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    days = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
-    parts = [events.where((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in zip(days, days[1:])]
+    early, late = F.col("ts") < "2024-01-11", F.col("ts") >= "2024-01-21"
+    parts = [events.where(test) for test in (early, ~early & ~late, late)]
     keys, order = ["user_id", "event_type"], ["ts", "event_id"]
     state = merge.merge_latest(parts[1].limit(0), parts[1], keys, order)
     for part in (parts[0], parts[2], parts[1]):
@@ -151,7 +151,7 @@ def replica_refresh(spark, sf_dir):
 def compacted_table(spark, sf_dir):
     path = scratch_path(spark, "lineitem")
     tables.write_table(table(spark, sf_dir, "lineitem"), path, "overwrite")
-    tables.compact(spark, path, ["l_orderkey"], 8)
+    tables.compact(spark, path, ["l_orderkey"])
     return spark.read.parquet(path)
 
 

@@ -54,6 +54,8 @@ FALSE_TEXTS = ("f", "false", "n", "no", "0")
 NO_INTEGER = r"[^0-9+\-\s\p{Cntrl}]"
 NO_DECIMAL = r"[^0-9+\-.eE\s\p{Cntrl}]"
 DIGIT = r"[0-9]"
+# What Spark trims before it reads a text: ASCII control characters and the space.
+BLANK_ENDS = r"^[\x00-\x20\x7F]+|[\x00-\x20\x7F]+$"
 
 
 def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
@@ -69,13 +71,14 @@ def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
         if isinstance(target, T.DecimalType):
             return F.when(~column.rlike(NO_DECIMAL), cast)
         if isinstance(target, T.BooleanType):
-            text = F.lower(F.trim(column))
+            text = F.lower(F.regexp_replace(column, BLANK_ENDS, ""))
             return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
         if isinstance(target, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return F.when(column.rlike(DIGIT), cast)
     # Up to 15 digits a double tells a value that fits from the first that does not.
     if isinstance(source, T.NumericType) and isinstance(target, T.DecimalType) and target.precision <= 15:
-        return F.when(F.abs(column) < F.lit(10.0 ** (target.precision - target.scale)), cast)
+        bound = F.lit(10.0 ** (target.precision - target.scale))
+        return F.when((column < bound) & (column > -bound), cast)
     return cast
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,3 +139,11 @@ def key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("key_count"),
         F.count_if(F.col("n") > 1).alias("duplicate_key_count"),
     )
+
+
+def non_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows, and distinct keys no part of which is NULL."""
+    keys = resolve(df, keys)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    present = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count_if(present).alias("key_count"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidegate.operators.dedupe import distinct_keys
 from tidegate.operators.hierarchy import descendants
 from tidegate.operators.membership import exclude_keys, filter_by_ids, include_keys
-from tidegate.operators.names import resolve
+from tidegate.operators.names import not_null, resolve
 from tidegate.workspace import scratch_path, stage
 
 
@@ -132,8 +132,9 @@ def apply_rules(
             df = kept[rule.role]
             (column,) = resolve(df, [rule.column])
             members = keys[rule.key]
-            members = members.select(F.col(members.columns[0]).cast(df.schema[column].dataType).alias(column))
-            kept[rule.role] = exclude_keys(df, members, [column], rule.drop_nulls, unique=True)
+            # A key that does not fit the narrower type of the rows can match none of them.
+            members = members.select(F.col(members.columns[0]).try_cast(df.schema[column].dataType).alias(column))
+            kept[rule.role] = exclude_keys(df, not_null(members, [column]), [column], rule.drop_nulls, unique=True)
     return kept
 
 

@@ -10,7 +10,6 @@ from tidegate.workspace import release, scratch_path, stage
 
 # Rounds of level-by-level expansion before deep single-parent chains are finished by doubling.
 LEVEL_ROUNDS = 4
-MAX_ROUNDS = 10_000
 
 
 def descendants(
@@ -19,7 +18,6 @@ def descendants(
     id_column: str,
     parent_column: str,
     level_rounds: int = LEVEL_ROUNDS,
-    max_rounds: int = MAX_ROUNDS,
     folder: str | None = None,
 ) -> DataFrame:
     """Ids of the seed rows and of everything below them, each once; cycles are harmless.
@@ -31,44 +29,48 @@ def descendants(
     found. A level is a written table, so a small one is broadcast by its measured size and a large
     one is joined by shuffle with hot parents split; lineage never grows. If levels remain after
     ``level_rounds`` and every id left has a single parent, the rest is found by pointer doubling,
-    which needs only the logarithm of the remaining depth; otherwise expansion by level goes on.
+    which needs only the logarithm of the remaining depth; otherwise expansion by level goes on. Each round
+    finds a new id or is the last. Once half as many ids have been found as there are edges, the edges
+    of found ids are left behind, so deep graphs are not read whole in each round.
     The result reads from ``folder``, which the caller may delete when done.
     """
     spark = nodes.sparkSession
     folder = folder or scratch_path(spark, "descendants")
     kind = nodes.schema[id_column].dataType
+    counted = F.count(F.lit(1)).alias("n")
     edges = stage(
         nodes.select(F.col(id_column).alias("id"), F.col(parent_column).cast(kind).alias("parent")).where(F.col("id").isNotNull()),
         "edges",
+        counted,
         path=f"{folder}/edges",
-    ).df
+    )
     level = stage(
-        include_keys(edges.select("id"), seeds.select(F.col(id_column).cast(kind).alias("id")), ["id"]).distinct(),
+        include_keys(edges.df.select("id"), seeds.select(F.col(id_column).cast(kind).alias("id")), ["id"]).distinct(),
         "level",
-        F.count(F.lit(1)).alias("n"),
+        counted,
         path=f"{folder}/found/level=0",
     )
-    found = _found(spark, folder, level.df)
-    rounds = 0
+    recent, since, rounds = [level.path], level.metrics["n"], 0
     while level.metrics["n"]:
         rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"hierarchy is deeper than {max_rounds} levels")
-        if rounds == level_rounds + 1 and _double(spark, edges, found, level.df, folder):
-            found = _found(spark, folder, level.df)
+        if rounds == level_rounds + 1 and _double(spark, edges.df, _found(spark, folder, level.df), level.df, folder):
             break
+        if 2 * since >= edges.metrics["n"] > 0:
+            left = edges.df.where(F.col("parent").isNotNull()).join(spark.read.parquet(*recent), "id", "left_anti")
+            smaller = stage(left, "edges", counted, path=f"{folder}/edges-{rounds}")
+            release(spark, edges.path)
+            edges, recent, since = smaller, [], 0
         children = include_keys(
-            edges.where(F.col("parent").isNotNull()), level.df.withColumnRenamed("id", "parent"), ["parent"], unique=True
-        )
-        level = stage(
-            children.select("id").distinct().join(found, "id", "left_anti"),
-            "level",
-            F.count(F.lit(1)).alias("n"),
-            path=f"{folder}/found/level={rounds}",
+            edges.df.where(F.col("parent").isNotNull()), level.df.withColumnRenamed("id", "parent"), ["parent"], unique=True
         )
-        found = _found(spark, folder, level.df)
-    release(spark, f"{folder}/edges")
-    return found.select(F.col("id").alias(id_column))
+        children = children.select("id").distinct()
+        if recent:
+            children = children.join(spark.read.parquet(*recent), "id", "left_anti")
+        level = stage(children, "level", counted, path=f"{folder}/found/level={rounds}")
+        recent.append(level.path)
+        since += level.metrics["n"]
+    release(spark, edges.path)
+    return _found(spark, folder, level.df).select(F.col("id").alias(id_column))
 
 
 def _found(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
@@ -88,6 +90,7 @@ def _double(spark: SparkSession, edges: DataFrame, found: DataFrame, level: Data
         one_parent, "pointers", F.max(F.col("up") != F.col("other")).alias("several"), path=f"{folder}/pointers-start"
     )
     if start.metrics["several"]:
+        release(spark, start.path)
         return False
     pointers = start.df.select("id", "up")
     last = level.select(F.col("id").alias("up"), F.lit(True).alias("hit"))

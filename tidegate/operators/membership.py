@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions import safe_cast
 from tidegate.operators.dedupe import distinct_keys
 from tidegate.operators.names import comparable_columns, not_null, resolve
 
@@ -17,6 +18,7 @@ from tidegate.operators.names import comparable_columns, not_null, resolve
 IN_LIST_LIMIT = 1000
 
 SPREAD = "__spread"
+MEMBER = "__member"
 MODES = ("include", "exclude")
 
 
@@ -94,24 +96,58 @@ def without_held(distinct: DataFrame, held: DataFrame, keys: Sequence[str]) -> D
     return distinct.join(distinct_keys(held, keys), list(keys), "left_anti")
 
 
-def filter_by_ids(df: DataFrame, column: str, ids: Sequence[int | str], mode: str = "include") -> DataFrame:
+def listed_ids(df: DataFrame, column: str, ids: Sequence[int | str] | DataFrame) -> tuple[Column, DataFrame]:
+    """What rows of ``df`` are compared by, and the distinct ids of a list in the same type.
+
+    Ids take the type of ``column``; those that do not fit it can match nothing and go. A text column
+    and numeric ids are compared as numbers, so ``'01'`` is 1 and text that is no number matches nothing.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(ids, DataFrame):
+        given = ids.select(F.col(ids.columns[0]).alias(MEMBER))
+        numeric = isinstance(given.schema[MEMBER].dataType, T.NumericType)
+    else:
+        numeric = not any(isinstance(i, str) for i in ids)
+        given = df.sparkSession.createDataFrame([(str(i),) for i in dict.fromkeys(ids)], f"{MEMBER} string")
+        if numeric:
+            given = given.select(F.col(MEMBER).try_cast("decimal(38,0)").alias(MEMBER))
+    target, key = kind, F.col(column)
+    if numeric and isinstance(kind, T.StringType):
+        target = T.DecimalType(38, 9)
+        key = safe_cast(key, kind, target)
+    typed = given.select(F.col(MEMBER).try_cast(target).alias(MEMBER))
+    return key, not_null(typed, [MEMBER]).distinct()
+
+
+def filter_by_ids(
+    df: DataFrame, column: str, ids: Sequence[int | str] | DataFrame, mode: str = "include"
+) -> DataFrame:
     """Keep (``include``) or drop (``exclude``) rows by a list of ids, with IN / NOT IN semantics.
 
-    NULL keys are dropped in both modes, except that an empty exclude list keeps every row. Up to
-    the source's IN limit the list is a pushed-down predicate; beyond it a join with the list.
+    The list may be values or the first column of a frame; how long it is changes nothing but the plan: up
+    to the source's IN limit values are a pushed-down predicate, beyond it, and for a frame, a join.
+    NULL keys are dropped in both modes, except that an empty exclude list keeps every row.
     """
     _check_mode(mode)
     (column,) = resolve(df, [column])
-    values = sorted(set(ids))
-    if not values:
+    frame = isinstance(ids, DataFrame)
+    if ids.isEmpty() if frame else not len(ids):
         return df.where(F.lit(mode == "exclude"))
-    if len(values) <= IN_LIST_LIMIT:
-        member = F.col(column).isin(values)
-        return df.where(member if mode == "include" else ~member)
-    kind = "string" if isinstance(values[0], str) else "decimal(38,0)"
-    listed = df.sparkSession.createDataFrame([(v,) for v in map(str, values)], f"{column} string")
-    listed = listed.select(F.col(column).cast(kind).cast(df.schema[column].dataType).alias(column))
-    return include_keys(df, listed, [column]) if mode == "include" else exclude_keys(df, listed, [column], True)
+    key, listed = listed_ids(df, column, ids)
+    present = F.col(column).isNotNull()
+    if not frame and len(ids) <= IN_LIST_LIMIT:
+        # Values of the caller, in the column's type.
+        values = [row[0] for row in listed.collect()]
+        if mode == "include":
+            return df.where(key.isin(values)) if values else df.where(F.lit(False))
+        if not values:
+            return df.where(present)
+        plain = not isinstance(df.schema[column].dataType, T.StringType) or isinstance(values[0], str)
+        return df.where(~key.isin(values)) if plain else df.where(present & ~F.coalesce(key.isin(values), F.lit(False)))
+    rows = df.withColumn(MEMBER, key)
+    if mode == "include":
+        return include_keys(rows, listed, [MEMBER], unique=True).select(*df.columns)
+    return exclude_keys(rows.where(present), listed, [MEMBER], unique=True).select(*df.columns)
 
 
 def filter_by_relation(

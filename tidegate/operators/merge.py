@@ -3,25 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators.dedupe import dedupe_latest
-from tidegate.operators.membership import SPREAD, exclude_keys, include_keys, spread_join, spread_of, without_held
+from tidegate.operators.membership import SPREAD, exclude_keys, spread_join, spread_of, without_held
 from tidegate.operators.names import align, not_null, resolve
 
 MATCHED = "__matched"
 HELD = "__held"
 
 
-def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct non-NULL keys with their spread column; running it fails if a key occurs twice."""
-    present = not_null(df.select(*keys), keys).withColumn(SPREAD, spread_of(keys))
-    counted = present.groupBy(*keys, SPREAD).agg(F.count(F.lit(1)).alias("__n"))
+def checked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows; running it fails if a non-NULL key occurs twice.
+
+    The rows themselves go through the check, so no plan that needs them can leave it out.
+    """
+    values = [c for c in df.columns if c not in keys]
+    present = not_null(df, keys).withColumn(SPREAD, spread_of(keys))
+    row = F.first(F.struct(*[F.col(c) for c in values])) if values else F.first(F.lit(True))
+    counted = present.groupBy(*keys, SPREAD).agg(F.count(F.lit(1)).alias("__n"), row.alias("__row"))
     message = F.concat(F.lit("duplicate merge key "), F.to_json(F.struct(*keys)))
     repeated = F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean"))
-    return counted.where(F.coalesce(repeated, F.lit(True))).select(*keys, SPREAD)
+    single = counted.where(F.coalesce(repeated, F.lit(True)))
+    columns = [F.col(c) if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns]
+    without_key = df.where(reduce(or_, [F.col(k).isNull() for k in keys]))
+    return single.select(*columns).unionByName(without_key)
 
 
 def upsert(
@@ -42,15 +52,14 @@ def upsert(
     if not keys:
         raise ValueError("a merge needs at least one key")
     updates = align(updates, base.schema)
-    update_keys = updates.select(*keys) if updates_are_unique else unique_keys(updates, keys)
+    single = updates if updates_are_unique else checked(updates, keys)
     if base_is_unique:
-        return spread_join(base, update_keys, keys, "left_anti").select(*base.columns).unionByName(updates)
+        return exclude_keys(base, updates, keys).unionByName(single)
     values = [c for c in base.columns if c not in keys]
-    matchable = updates if updates_are_unique else include_keys(updates, update_keys, keys, unique=True)
-    new = matchable.select(*keys, F.struct(*[F.col(c) for c in values]).alias(MATCHED))
+    new = not_null(single, keys).select(*keys, F.struct(*[F.col(c) for c in values]).alias(MATCHED))
     matched = F.col(MATCHED).isNotNull()
     updated = [F.when(matched, F.col(f"{MATCHED}.{c}")).otherwise(F.col(c)).alias(c) for c in values]
-    inserted = exclude_keys(updates, base, keys)
+    inserted = exclude_keys(single, base, keys)
     return spread_join(base, new, keys, "left").select(*keys, *updated).select(*base.columns).unionByName(inserted)
 
 
@@ -75,11 +84,13 @@ def insert_absent(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def update_columns(base: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Set only ``columns`` on matched rows; insert unmatched updates whole. One row per key on each side."""
+    """Set only ``columns`` on matched rows; insert unmatched updates whole. A non-NULL key that occurs
+    twice on either side is an error."""
     keys = resolve(base, keys)
     columns = resolve(base, columns)
     ours, theirs = (F.struct(*[F.col(c) for c in base.columns if c not in keys]).alias(side) for side in (HELD, MATCHED))
-    joined = spread_join(base.select(*keys, ours), align(updates, base.schema).select(*keys, theirs), keys, "full")
+    base, updates = checked(base, keys), checked(align(updates, base.schema), keys)
+    joined = spread_join(base.select(*keys, ours), updates.select(*keys, theirs), keys, "full")
 
     def value(name: str) -> Column:
         first, second = (MATCHED, HELD) if name in columns else (HELD, MATCHED)

@@ -32,7 +32,12 @@ def not_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def align(df: DataFrame, target: T.StructType) -> DataFrame:
-    """The columns of ``target``, in its order and with its types."""
+    """The columns of ``target``, in its order and with its types. A column that ``target`` does not
+    have is an error, as its values would be lost."""
+    known = {n.lower() for n in target.fieldNames()}
+    added = [c for c in df.columns if c.lower() not in known]
+    if added:
+        raise ValueError(f"columns {added} are not among {target.fieldNames()}")
     kinds = {f.name: f.dataType for f in df.select(*target.fieldNames()).schema.fields}
     columns = [F.col(f.name) if kinds[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields]
     return df.select(*columns)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import with_suffix
 from tidegate.operators.filters import HISTORY_MONTHS, after_watermark, history_window
-from tidegate.operators.membership import IN_LIST_LIMIT, filter_by_ids
+from tidegate.operators.membership import IN_LIST_LIMIT, MEMBER, filter_by_ids, listed_ids
 from tidegate.operators.names import exclude_columns, resolve
 from tidegate.plans.specs import DatabaseEntity, LoadResult
 from tidegate.sinks import ledger
@@ -25,7 +25,7 @@ def extract(
     mode: str,
     as_of: dt.date,
     last: dt.datetime | None = None,
-    id_filter: tuple[str, Sequence[int], str] | None = None,
+    id_filter: tuple[str, Sequence[int] | DataFrame, str] | None = None,
 ) -> DataFrame:
     """Rows an entity reads: history window, then watermark, then id filter (column, ids, mode).
 
@@ -39,25 +39,30 @@ def extract(
         rows = after_watermark(rows, spec.watermark, last, spec.lookback)
     if id_filter:
         column, ids, kind = id_filter
-        if not ids:
+        if ids.isEmpty() if isinstance(ids, DataFrame) else not ids:
             raise ValueError(f"{spec.name}: the id filter has no ids")
         rows = filter_by_ids(rows, column, ids, kind)
     return rows
 
 
-def suffix_governed(df: DataFrame, columns: tuple[str, str] | None, governed: Sequence[int]) -> DataFrame:
+def suffix_governed(
+    df: DataFrame, columns: tuple[str, str] | None, governed: Sequence[int] | DataFrame
+) -> DataFrame:
     """Append the governed suffix to the code of governed ids. ``columns`` is (id, code).
 
-    Names are matched exactly; without them, or without ids, the frame is unchanged.
+    Names are matched exactly; without them, or without ids, the frame is unchanged. Ids are compared as
+    in `filter_by_ids`, whatever the length of the list.
     """
-    if not columns or not governed or not set(columns) <= set(df.columns):
+    frame = isinstance(governed, DataFrame)
+    if not columns or not set(columns) <= set(df.columns) or (not frame and not governed):
         return df
     id_column, code = columns
-    ids = sorted(set(governed))
-    if len(ids) <= IN_LIST_LIMIT:
-        return df.withColumn(code, with_suffix(code, F.coalesce(F.col(id_column).isin(ids), F.lit(False))))
-    listed = df.sparkSession.createDataFrame([(i,) for i in ids], "__id bigint").withColumn("__governed", F.lit(True))
-    marked = df.join(listed, F.col(id_column) == F.col("__id"), "left")
+    key, listed = listed_ids(df, id_column, governed)
+    if not frame and len(governed) <= IN_LIST_LIMIT:
+        values = [row[0] for row in listed.collect()]
+        member = F.coalesce(key.isin(values), F.lit(False)) if values else F.lit(False)
+        return df.withColumn(code, with_suffix(code, member))
+    marked = df.withColumn(MEMBER, key).join(listed.withColumn("__governed", F.lit(True)), MEMBER, "left")
     return marked.withColumn(code, with_suffix(code, F.coalesce("__governed", F.lit(False)))).select(*df.columns)
 
 
@@ -69,8 +74,8 @@ def load(
     mode: str,
     ledger_path: str,
     as_of: dt.datetime,
-    governed: Sequence[int] = (),
-    id_filter: tuple[str, Sequence[int], str] | None = None,
+    governed: Sequence[int] | DataFrame = (),
+    id_filter: tuple[str, Sequence[int] | DataFrame, str] | None = None,
 ) -> LoadResult:
     """Load one entity into its target table.
 

@@ -14,12 +14,14 @@ from tidegate.operators.filters import after_watermark, between_bounds
 from tidegate.plans.specs import LakeEntity, LoadResult
 from tidegate.sinks import ledger
 from tidegate.sinks.tables import (
+    buckets_for,
     merge_into,
     publish,
     read_bucketed,
     replace_bucketed,
     replicate,
     restore_table,
+    table_bytes,
     transform,
     write_bucketed,
     write_table,
@@ -89,33 +91,36 @@ def load(
         release(spark, batch.path)
         return LoadResult(spec.name, "skipped_empty")
 
-    raw_touched = None
+    # The number of buckets of a table that is written anew follows its bytes; a merge keeps it.
+    buckets = spec.buckets or buckets_for(table_bytes(spark, batch.path))
+    raw_touched, raw_added = None, None
     if whole_raw:
         publish(spark, whole_raw, spec.raw_path)
         batch = Staged(spark.read.schema(batch.df.schema).parquet(spec.raw_path), whole_raw, batch.metrics)
     elif raw_mode == "merge":
-        raw_touched = merge_into(spark, spec.raw_path, batch.df, spec.keys, spec.buckets, staged=True)
+        raw_touched = merge_into(spark, spec.raw_path, batch.df, spec.keys, staged=True)
     elif spec.raw_merge:
-        replace_bucketed(spark, batch.df, spec.raw_path, spec.keys, spec.buckets)
+        replace_bucketed(spark, batch.df, spec.raw_path, spec.keys, buckets)
     else:
         write_table(batch.df, spec.raw_path, raw_mode)
+        raw_added = batch.df if raw_mode == "append" else None
     if spec.raw_replica:
-        replicate(spark, spec.raw_path, spec.raw_replica, raw_touched)
+        replicate(spark, spec.raw_path, spec.raw_replica, raw_touched, raw_added)
 
     touched = None
     if grain == "DAILY" and incremental:
         current_mode = "append"
-        write_bucketed(batch.df, spec.current_path, spec.keys, spec.buckets, "append")
+        write_bucketed(batch.df, spec.current_path, spec.keys, buckets, "append")
     elif grain == "DAILY":
         current_mode = "overwrite"
-        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, spec.buckets)
+        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, buckets)
     elif not exists(spark, spec.current_path):
         current_mode = "overwrite"
         first = _one_per_key(spec, source) if incremental else batch.df
-        replace_bucketed(spark, first, spec.current_path, spec.keys, spec.buckets)
+        replace_bucketed(spark, first, spec.current_path, spec.keys, buckets)
     else:
         current_mode = "merge"
-        touched = merge_into(spark, spec.current_path, batch.df, spec.keys, spec.buckets, staged=True)
+        touched = merge_into(spark, spec.current_path, batch.df, spec.keys, staged=True)
     if spec.current_replica:
         replicate(spark, spec.current_path, spec.current_replica, touched)
 
@@ -142,9 +147,10 @@ def backfill(
     touched, current_mode = None, "overwrite"
     if exists(spark, spec.current_path):
         current_mode = "merge"
-        touched = merge_into(spark, spec.current_path, batch.df, spec.keys, spec.buckets, staged=True)
+        touched = merge_into(spark, spec.current_path, batch.df, spec.keys, staged=True)
     else:
-        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, spec.buckets)
+        buckets = spec.buckets or buckets_for(table_bytes(spark, batch.path))
+        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, buckets)
     if spec.current_replica:
         replicate(spark, spec.current_path, spec.current_replica, touched)
     release(spark, batch.path)

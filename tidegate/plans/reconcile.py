@@ -24,9 +24,6 @@ from tidegate.workspace import has_files, matches, release, stage
 
 MODES = ("incremental", "full")
 
-# Up to this many new events one task per bucket is enough.
-FEW_EVENTS = 10_000_000
-
 
 @dataclass(frozen=True)
 class DeleteTables:
@@ -101,12 +98,11 @@ def detect(
     )
     if fresh.metrics["rows"]:
         if bucket in fresh.df.columns:
-            tasks = tables.buckets if fresh.metrics["rows"] <= FEW_EVENTS else None
-            write_table(by_bucket(fresh.df, bucket, tasks), tables.events, "append", partition_by=[bucket])
+            write_table(by_bucket(fresh.df, bucket), tables.events, "append", partition_by=[bucket])
         else:
             write_table(fresh.df, tables.events, "append")
     latest = deletes.latest_events(_events(spark, tables, event_schema), key)
-    synced = write_table(latest, tables.current_events, "overwrite")["rows"]
+    synced = replace_table(spark, tables.current_events, latest)["rows"]
     release(spark, keys.path, candidates.path, fresh.path)
     return DeleteResult(migrated, keys.metrics["rows"], candidates.metrics["rows"], fresh.metrics["rows"], synced)
 
@@ -128,8 +124,8 @@ def active_view(spark: SparkSession, name: str, current: DataFrame, tables: Dele
     return rows
 
 
-def optimize(spark: SparkSession, tables: DeleteTables, files: int = 1) -> None:
-    """Compact the state tables and cluster them by key."""
+def optimize(spark: SparkSession, tables: DeleteTables, files: int | None = None) -> None:
+    """Compact the state tables and cluster them by key, into files by their bytes unless told."""
     bucket = deletes.bucket_column(tables.key)
     compact(spark, tables.snapshot, [tables.key], files)
     if has_files(spark, tables.events):

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from tidegate.functions import KEY_BUCKETS
 
 GRAINS = ("HOURLY", "DAILY")
 MODES = ("daily", "transactional", "historical", "initial")
@@ -38,7 +37,7 @@ class LakeEntity:
     transform: Transform = None
     ledger_name: str | None = None
     lookback: dt.timedelta = dt.timedelta(0)
-    buckets: int = KEY_BUCKETS
+    buckets: int | None = None
     write_enabled: bool = True
     append_daily: bool = False
 

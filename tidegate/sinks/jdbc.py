@@ -54,6 +54,9 @@ def write(df: DataFrame, db: Database, table: str, mode: str = "append", rows: i
         writer.mode("overwrite").option("truncate", "true").save()
 
 
-def target_keys(spark: SparkSession, db: Database, table: str, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys the target holds."""
-    return key_scan(spark, db, f"SELECT * FROM {table}", keys)
+def target_keys(
+    spark: SparkSession, db: Database, table: str, keys: Sequence[str], predicates: Sequence[str] = ()
+) -> DataFrame:
+    """Distinct keys the target holds, read by one task per predicate if some are given. They must be
+    disjoint and together cover every row, such as ranges or remainders of a key."""
+    return key_scan(spark, db, f"SELECT * FROM {table}", keys, predicates)

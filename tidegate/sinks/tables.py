@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +13,38 @@ from pyspark.sql import types as T
 
 from tidegate.functions import KEY_BUCKETS, key_bucket
 from tidegate.operators.deletes import bucket_column, bucketed_layout
-from tidegate.operators.merge import merge_latest, unique_keys, upsert
-from tidegate.operators.names import align, comparable_columns
-from tidegate.workspace import exists, hadoop_path, release, rename, stage
+from tidegate.operators.merge import merge_latest, upsert
+from tidegate.operators.names import align, comparable, comparable_columns
+from tidegate.workspace import exists, hadoop_path, has_files, release, rename, stage
 
 BUCKET = "__bucket"
+# Bytes that a bucket and a file of a compacted table are to hold.
+BUCKET_BYTES, FILE_BYTES = 1 << 30, 256 << 20
+LARGEST_BUCKETS = 1 << 16
+# An empty, hidden file whose name keeps a table's number of buckets.
+LAYOUT = "_buckets-"
+FINISHED = "_finished"
+
+
+def check_columns(spark: SparkSession, path: str, df: DataFrame) -> None:
+    """Fail if rows of ``df`` have other columns than the table they are added to: Spark would write
+    them and then show either schema, whichever file it looks at first."""
+    if not has_files(spark, path):
+        return
+    held, given = ({c.lower() for c in frame.columns} for frame in (spark.read.parquet(path), df))
+    if held != given:
+        raise ValueError(f"{path} and the rows to add differ in columns {sorted(held ^ given)}")
 
 
 def write_table(df: DataFrame, path: str, mode: str, *metrics: Column, partition_by: Sequence[str] = ()) -> dict:
-    """Append to or overwrite a table; the schema is that of ``df``. Returns metrics of the write."""
+    """Append to or overwrite a table. Returns metrics of the write.
+
+    The schema is that of ``df``; appended rows must have the table's columns.
+    """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unsupported write mode '{mode}'")
+    if mode == "append":
+        check_columns(df.sparkSession, path, df)
     observed = Observation()
     writer = df.observe(observed, *(metrics or [F.count(F.lit(1)).alias("rows")])).write.mode(mode).option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
@@ -42,19 +65,58 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, parti
     return True
 
 
-def by_bucket(df: DataFrame, bucket: str, tasks: int | None = None) -> DataFrame:
+def by_bucket(df: DataFrame, bucket: str) -> DataFrame:
     """Rows gathered by bucket for writing. Adaptive execution splits large buckets over several
-    tasks and joins small ones, so file sizes follow the advisory partition size. For a change set
-    known to be small, ``tasks`` spreads the buckets evenly, so the files are written side by side."""
-    return df.hint("rebalance", F.col(bucket)) if tasks is None else df.repartition(tasks, F.col(bucket))
+    tasks and joins small ones, so file sizes follow the advisory partition size."""
+    return df.hint("rebalance", F.col(bucket))
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files of a table."""
+    fs, target = hadoop_path(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
+def buckets_for(size: int, target: int = BUCKET_BYTES) -> int:
+    """The power of two of buckets, KEY_BUCKETS at least, that holds ``size`` bytes at ``target`` each."""
+    wanted = KEY_BUCKETS
+    while wanted < LARGEST_BUCKETS and wanted * target < size:
+        wanted *= 2
+    return wanted
+
+
+def held_buckets(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets kept with a table, None if it keeps none."""
+    fs, pattern = hadoop_path(spark, f"{path}/{LAYOUT}*")
+    found = list(fs.globStatus(pattern) or [])
+    return int(found[0].getPath().getName()[len(LAYOUT) :]) if found else None
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, target = hadoop_path(spark, path)
+    fs.create(target).close()
+
+
+def keep_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Note the number of buckets with a table."""
+    held = held_buckets(spark, path)
+    if held is not None and held != buckets:
+        raise ValueError(f"{path} has {held} buckets, not {buckets}")
+    if held is None:
+        _touch(spark, f"{path}/{LAYOUT}{buckets}")
 
 
 def write_bucketed(
     df: DataFrame, path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS, mode: str = "overwrite"
 ) -> dict:
     """Write a table laid out by key bucket, the layout `merge_into` needs."""
+    spark = df.sparkSession
+    if mode == "append":
+        buckets = held_buckets(spark, path) or buckets
     placed = by_bucket(df.withColumn(BUCKET, key_bucket(keys, buckets)), BUCKET)
-    return write_table(placed, path, mode, partition_by=[BUCKET])
+    metrics = write_table(placed, path, mode, partition_by=[BUCKET])
+    keep_buckets(spark, path, buckets)
+    return metrics
 
 
 def replace_bucketed(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS) -> dict:
@@ -82,23 +144,16 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return -1 if setting.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
 
 
-def _split_merge(
-    base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], tasks: int
-) -> DataFrame:
-    """The merge for a change set whose keys are small enough to send to every task.
-
-    Base rows of other keys are passed through where they were read, in their buckets; only rows of
-    changed keys are shuffled.
-    """
-    changed = (changes.select(*keys).distinct() if order else unique_keys(changes, keys)).select(
-        *[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)]
-    )
+def _split_merge(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The merge for a change set whose keys are small enough to send to every task, so that the base
+    rows are matched where they were read."""
+    changed = changes.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)]).distinct()
     pairs = [(F.col(k), F.col(f"__c{i}")) for i, k in enumerate(keys)]
     on = [ours.eqNullSafe(theirs) if order else ours == theirs for ours, theirs in pairs]
     untouched = base.join(F.broadcast(changed), on, "left_anti")
     if order:
         changes = merge_latest(base.join(F.broadcast(changed), on, "left_semi"), changes, keys, order)
-    return untouched.unionByName(by_bucket(changes, BUCKET, tasks))
+    return untouched.unionByName(changes)
 
 
 def _placed(base: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -109,59 +164,109 @@ def _placed(base: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return base.where(F.when(strayed, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
+def put_buckets(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Replace those buckets of a table that ``rows`` holds.
+
+    They are written beside the table, marked as finished, and then take the places of the old ones
+    folder by folder. A run that dies before the mark has changed nothing; after it, `restore_table`
+    finishes the swap. Files are gathered by bucket, so rewriting does not multiply them.
+    """
+    beside = f"{path}__merge"
+    release(spark, beside)
+    by_bucket(rows, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(beside)
+    _touch(spark, f"{beside}/{FINISHED}")
+    _swap_buckets(spark, path)
+
+
+def _swap_buckets(spark: SparkSession, path: str) -> None:
+    """Move finished buckets into a table; run again after a crash it goes on where it stopped."""
+    beside, old = f"{path}__merge", f"{path}__merged"
+    fs, pattern = hadoop_path(spark, f"{beside}/{BUCKET}=*")
+    fs.mkdirs(hadoop_path(spark, old)[1])
+    for status in fs.globStatus(pattern) or []:
+        bucket = status.getPath().getName()
+        if exists(spark, f"{path}/{bucket}"):
+            rename(spark, f"{path}/{bucket}", f"{old}/{bucket}")
+        rename(spark, f"{beside}/{bucket}", f"{path}/{bucket}")
+    release(spark, beside, old)
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
     updates: DataFrame,
     keys: Sequence[str],
-    buckets: int = KEY_BUCKETS,
+    buckets: int | None = None,
     order: Sequence[str] = (),
     staged: bool = False,
 ) -> list[int]:
     """Merge ``updates`` into a bucketed table by rewriting only the buckets they touch.
 
-    Without ``order`` a matched row is updated whatever it holds (`upsert`); with ``order`` the
-    newer row wins (`merge_latest`). The rewrite is one Spark job with dynamic partition overwrite:
-    new files go to the job's staging folder and replace the touched buckets when it commits, so
-    lost executors and retried tasks leave the table as it was. Applying the same updates again
-    changes nothing. Pass ``staged`` if ``updates`` is a written table already. Returns the touched
-    buckets, at most ``buckets`` numbers.
+    Without ``order`` a matched row is updated whatever it holds (`upsert`), and a non-NULL key that
+    occurs twice is an error before anything is written; with ``order`` the newer row wins
+    (`merge_latest`). The touched buckets are written beside the table and swapped in (`put_buckets`),
+    so lost executors, retried tasks and a lost driver leave the old rows or the new ones. Applying the
+    same updates again changes nothing. Pass ``staged`` if ``updates`` is a written table already. The
+    number of buckets is the one kept with the table; ``buckets`` is for tables that keep none. Returns
+    the touched buckets, at most as many numbers.
 
     The changed keys are counted per bucket first. If together they stay below the session's
-    broadcast threshold, the table's rows are not shuffled at all; beyond it both sides are joined
-    by shuffle. Files added by small merges are gathered by `compact`.
+    broadcast threshold, base rows are matched where they are read; beyond it both sides are joined
+    by shuffle.
     """
+    restore_table(spark, path)
+    held = held_buckets(spark, path)
+    if held is not None and buckets is not None and held != buckets:
+        raise ValueError(f"table is not laid out in {buckets} buckets of {list(keys)}, but in {held}")
+    buckets = held or buckets or KEY_BUCKETS
     table = spark.read.parquet(path)
-    held = T.StructType([f for f in table.schema.fields if f.name != BUCKET])
-    changes = align(updates, held).withColumn(BUCKET, key_bucket(keys, buckets))
+    kept = T.StructType([f for f in table.schema.fields if f.name != BUCKET])
+    changes = align(updates, kept).withColumn(BUCKET, key_bucket(keys, buckets))
     copy = None if staged else stage(changes, "updates")
     changes = changes if copy is None else copy.df
-    sizes = changes.groupBy(BUCKET).agg(F.sum(_key_bytes(changes, keys)).alias("bytes")).collect()
-    touched = sorted(row[BUCKET] for row in sizes)
-    if touched:
-        base = _placed(table.where(F.col(BUCKET).isin(touched)), keys, buckets)
-        changes = changes.select(*base.columns)
-        if sum(row["bytes"] for row in sizes) <= _broadcast_limit(spark):
-            merged = _split_merge(base, changes, keys, order, len(touched))
-        else:
-            merged = by_bucket(merge_latest(base, changes, keys, order) if order else upsert(base, changes, keys), BUCKET)
-        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(BUCKET).parquet(path)
-    if copy is not None:
-        release(spark, copy.path)
+    try:
+        present = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        per_key = changes.groupBy(BUCKET, *keys).agg(
+            F.first(_key_bytes(changes, keys)).alias("bytes"), F.count_if(present).alias("n")
+        )
+        sizes = per_key.groupBy(BUCKET).agg(F.sum("bytes").alias("bytes"), F.max("n").alias("n")).collect()
+        repeated = [row[BUCKET] for row in sizes if row["n"] > 1]
+        if repeated and not order:
+            example = per_key.where("n > 1").drop(BUCKET, "bytes", "n").first()
+            raise ValueError(f"duplicate merge key {example.asDict()} in {len(repeated)} buckets")
+        touched = sorted(row[BUCKET] for row in sizes)
+        if touched:
+            base = _placed(table.where(F.col(BUCKET).isin(touched)), keys, buckets)
+            changes = changes.select(*base.columns)
+            if sum(row["bytes"] for row in sizes) <= _broadcast_limit(spark):
+                merged = _split_merge(base, changes, keys, order)
+            elif order:
+                merged = merge_latest(base, changes, keys, order)
+            else:
+                merged = upsert(base, changes, keys, updates_are_unique=True)
+            put_buckets(spark, merged, path)
+            if held is None:
+                keep_buckets(spark, path, buckets)
+    finally:
+        if copy is not None:
+            release(spark, copy.path)
     return touched
 
 
-def replace_table(spark: SparkSession, path: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+def replace_table(spark: SparkSession, path: str, df: DataFrame, partition_by: Sequence[str] = ()) -> dict:
     """Replace a table by a frame that may read it: write beside it, then swap the folders.
 
-    A run that died between the two renames is completed by the next one.
+    A run that died between the two renames is completed by the next one. A number of buckets kept
+    with the table stays with it. Returns metrics of the write.
     """
     new = f"{path}__new"
     restore_table(spark, path)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(new)
+    buckets = held_buckets(spark, path)
+    metrics = write_table(df, new, "overwrite", partition_by=partition_by)
+    if buckets is not None and BUCKET in partition_by:
+        keep_buckets(spark, new, buckets)
     publish(spark, new, path)
+    return metrics
 
 
 def publish(spark: SparkSession, new: str, path: str) -> None:
@@ -174,29 +279,49 @@ def publish(spark: SparkSession, new: str, path: str) -> None:
 
 
 def restore_table(spark: SparkSession, path: str) -> None:
-    """Undo a swap that stopped half-way."""
+    """Undo a swap of tables that stopped half-way, and finish one of buckets."""
     if not exists(spark, path) and exists(spark, f"{path}__old"):
         rename(spark, f"{path}__old", path)
     elif exists(spark, f"{path}__old"):
         release(spark, f"{path}__old")
-
-
-def replicate(spark: SparkSession, source: str, target: str, buckets: Sequence[int] | None = None) -> None:
-    """Copy a table to a second location, whole or only the key buckets a merge has touched."""
+    if exists(spark, f"{path}__merge/{FINISHED}"):
+        _swap_buckets(spark, path)
+    elif exists(spark, f"{path}__merge"):
+        release(spark, f"{path}__merge")
+
+
+def replicate(
+    spark: SparkSession, source: str, target: str, buckets: Sequence[int] | None = None, added: DataFrame | None = None
+) -> None:
+    """Copy a table to a second location: whole, only the key buckets a merge has touched, or only
+    the rows that an append has ``added``."""
+    restore_table(spark, target)
+    if added is not None and exists(spark, target):
+        write_table(added, target, "append")
+        return
     rows = spark.read.parquet(source)
     if BUCKET not in rows.columns:
-        rows.write.mode("overwrite").parquet(target)
-        return
-    mode = "static"
-    if buckets is not None and exists(spark, target):
-        rows, mode = rows.where(F.col(BUCKET).isin(list(buckets))), "dynamic"
-    rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKET).parquet(target)
+        replace_table(spark, target, rows)
+    elif buckets is not None and exists(spark, target):
+        if buckets:
+            put_buckets(spark, rows.where(F.col(BUCKET).isin(list(buckets))), target)
+    else:
+        replace_table(spark, target, by_bucket(rows, BUCKET), [BUCKET])
+        held = held_buckets(spark, source)
+        if held is not None:
+            keep_buckets(spark, target, held)
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and an order-independent checksum, for comparing a copy with its source."""
-    row_hash = F.xxhash64(*sorted(comparable_columns(df)))
-    total = F.sum(row_hash.cast("decimal(38,0)"))
+    """Row count and an order-independent checksum, for comparing a copy with its source.
+
+    Maps count by their sorted entries, where keys and values can be sorted.
+    """
+    values = [F.col(c) for c in sorted(comparable_columns(df))]
+    for field in sorted(df.schema.fields, key=lambda f: f.name):
+        if isinstance(field.dataType, T.MapType) and all(map(comparable, (field.dataType.keyType, field.dataType.valueType))):
+            values.append(F.array_sort(F.map_entries(field.name)))
+    total = F.sum(F.xxhash64(*values).cast("decimal(38,0)"))
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(total, F.lit(0)).cast("string").alias("checksum"))
 
 
@@ -205,17 +330,30 @@ def same_content(left: DataFrame, right: DataFrame) -> bool:
 
 
 def cluster_by_key(df: DataFrame, keys: Sequence[str], files: int) -> DataFrame:
-    """Rows in ``files`` key ranges, sorted within each, so readers skip files by min/max of the key."""
-    return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    """Rows in ``files`` key ranges, sorted within each, so readers skip files by min/max of the key.
+
+    Ranges may end within a key: the rows of a hot one are dealt on by a hash of their other columns.
+    """
+    others = comparable_columns(df, keys)
+    spread = [F.xxhash64(*[F.col(c) for c in others])] if others else []
+    return df.repartitionByRange(files, *keys, *spread).sortWithinPartitions(*keys)
+
 
+def compact(
+    spark: SparkSession, path: str, keys: Sequence[str], files: int | None = None, partition_by: Sequence[str] = ()
+) -> None:
+    """Rewrite a table into few files clustered by key; as many as its bytes ask for if not told.
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], files: int, partition_by: Sequence[str] = ()) -> None:
-    """Rewrite a table into few files clustered by key."""
+    A bucketed table keeps its buckets.
+    """
+    restore_table(spark, path)
     rows = spark.read.parquet(path)
+    if not partition_by and BUCKET in rows.columns:
+        partition_by = [BUCKET]
     if partition_by:
         clustered = rows.hint("rebalance", *[F.col(c) for c in partition_by]).sortWithinPartitions(*partition_by, *keys)
     else:
-        clustered = cluster_by_key(rows, keys, files)
+        clustered = cluster_by_key(rows, keys, files or max(1, -(-table_bytes(spark, path) // FILE_BYTES)))
     replace_table(spark, path, clustered, partition_by)
 
 

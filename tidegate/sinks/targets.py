@@ -29,10 +29,14 @@ class Target(Protocol):
 
 @dataclass(frozen=True)
 class JdbcTarget:
+    """Tables of a database. With ``key_predicates``, disjoint ones that cover every row, existing keys are
+    read by one task each; without, through one connection."""
+
     db: Database
+    key_predicates: Sequence[str] = ()
 
     def held_keys(self, spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame | None:
-        return jdbc.target_keys(spark, self.db, table, keys)
+        return jdbc.target_keys(spark, self.db, table, keys, self.key_predicates)
 
     def write(self, df: DataFrame, table: str, mode: str, rows: int | None, options: dict) -> None:
         jdbc.write(df, self.db, table, mode, rows, options)

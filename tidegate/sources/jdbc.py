@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import decimal
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -72,6 +74,9 @@ def partitioned_scan(spark: SparkSession, db: Database, query: str, column: str,
     low, high = scan(spark, db, f"SELECT MIN({column}) AS LO, MAX({column}) AS HI FROM {_source(query)}").first()
     if low is None:
         return scan(spark, db, query)
+    if isinstance(low, (int, float, decimal.Decimal)):
+        # Spark reads bounds of a numeric column as whole numbers.
+        low, high = math.floor(low), math.ceil(high)
     bounds = {"partitionColumn": column, "lowerBound": low, "upperBound": high, "numPartitions": partitions}
     reader = spark.read.format("jdbc").options(**db.jdbc_options()).options(**{k: str(v) for k, v in bounds.items()})
     return reader.option("dbtable", _source(query)).load()

@@ -55,14 +55,6 @@ def id_list(spark: SparkSession, path: str, field: str | None = "route_ids", kin
     return ids
 
 
-def id_values(ids: DataFrame, at_most: int = 100_000) -> list:
-    """A governance list on the driver, sorted; longer ones must stay a frame and be joined."""
-    rows = ids.limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} ids; join the list instead of reading it")
-    return sorted(row[0] for row in rows)
-
-
 def keyset(df: DataFrame, key: str, kind: str = "decimal(38,0)") -> DataFrame:
     """Distinct non-NULL values of a business key in the type shared by all key sets."""
     (name,) = resolve(df, [key])

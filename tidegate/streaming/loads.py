@@ -39,7 +39,7 @@ def upsert_batch(
         if latest.metrics["rows"]:
             restore_table(spark, target)
             if exists(spark, target):
-                merge_into(spark, target, latest.df, keys, buckets, order, staged=True)
+                merge_into(spark, target, latest.df, keys, order=order, staged=True)
             else:
                 replace_bucketed(spark, latest.df, target, keys, buckets)
             if ledger_path:

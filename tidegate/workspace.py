@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Folders made for local sessions that name none, by application.
+_local_folders: dict[str, str] = {}
 
 
 def local_session(cores: int | str = "*", name: str = "tidegate", **conf: Any) -> SparkSession:
@@ -42,9 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_DIR} must name a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidegate-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="tidegate-")
+    return _local_folders[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
