@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -15,6 +17,24 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SLICE_ROWS = 512
 
 
+PACKAGE = Path(__file__).parent.parent
+# Applications whose Python workers have been given this package.
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this package, however the driver came by it. Spark hands the archive on."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    archive = f"{tempfile.mkdtemp(prefix='tidegate-')}/tidegate.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(PACKAGE.rglob("*.py")):
+            out.write(source, source.relative_to(PACKAGE.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,6 +47,7 @@ def map_rows(
     ``make`` runs once per task and returns that function, so tables and caches live as long as
     the task. Rows travel in Arrow batches and become Python objects a slice at a time.
     """
+    ship(df.sparkSession)
     out = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,10 +62,6 @@ def map_rows(
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def sha256_text(column: Column) -> Column:
-    return F.sha2(column.cast("binary"), 256)
-
-
 def spans_text(spans: list[tuple[int, int, int]], kinds: tuple[str, ...]) -> str:
     """``kind:start:end`` of (start, rank of kind, end), comma-joined in that order."""
     return ",".join(f"{kinds[kind]}:{start}:{end}" for start, kind, end in sorted(spans))

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.llm.common import ship
+
 DIMENSIONS, LEAF, SEED = 8, 48, 11
 CERTAINTY = 0.995
 # Vectors that one task indexes, and queries that it answers.
@@ -151,6 +153,7 @@ def nearest(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"}
         )
 
+    ship(df.sparkSession)
     pairs = held.groupBy("d", "b", "c").cogroup(sent.groupBy("d", "b", "c"))
     answers = pairs.applyInPandas(answer, "query_id long, vec_id long, score double")
     best = answers.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

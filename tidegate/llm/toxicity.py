@@ -11,23 +11,24 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import SLICE_ROWS, map_rows
+from tidegate.llm.common import map_rows
 from tidegate.workspace import stage
 
 WORD = re.compile(r"[^\W\d_]+")
 # Beginnings of words are terms too, for words with endings that no example has.
 PREFIXES = (4, 5, 6)
-# Labelled rows of each class that the examples are drawn from, and the terms that are kept, most telling first.
-EXAMPLES, TERMS, LEAST_CHI_SQUARE = 2_000, 4_000, 25.0
-NEIGHBOURS, BLOCK, PRIOR_VOTES = 15, 64, 0.05
+# Labelled rows of each class that the examples are drawn from, and the terms of theirs that are looked at.
+EXAMPLES, TERMS = 2_000, 4_000
+# A term tells if so many toxic rows, and this share of them, hold it, and if of those that hold it (and one more)
+# this share is toxic.
+LEAST_ROWS, LEAST_SHARE, LEAST_RATE = 8, 0.01, 0.9
+NEIGHBOURS, BLOCK = 15, 64
 FOLDS = 5
 # Words remembered by a task.
 CACHE_WORDS = 500_000
@@ -126,12 +127,13 @@ class Model:
         near = self.nearest(*self.vector(counts)) if counts else []
         if not near:
             return self.blank, ""
-        toxic, total = PRIOR_VOTES * self.prior, PRIOR_VOTES
+        # Places that no neighbour takes vote as all labelled rows do.
+        total = float(NEIGHBOURS - len(near))
+        toxic = total * self.prior
         for cosine, example in near:
             label = int(self.labels[example])
-            vote = self.class_weight[label] / (1.1 + cosine)
-            toxic += vote * label
-            total += vote
+            toxic -= self.class_weight[label] * cosine * label
+            total -= self.class_weight[label] * cosine
         evidence = ",".join(f"{self.keys[e]}:{self.labels[e]}:{-c:.4f}" for c, e in near[:3])
         return min(1.0, toxic / total), evidence
 
@@ -141,9 +143,9 @@ def fit(
 ) -> Model:
     """Learn from the labelled rows outside fold 0.
 
-    At most ``examples`` rows of each class, those whose hashed key is least, are the examples; the terms are chosen
-    on them. The weights of the terms (document frequencies) and the class rates cover all rows. What reaches
-    the driver is bounded by ``examples`` and TERMS.
+    At most ``examples`` rows of each class, those whose hashed key is least, are the examples, and candidates for
+    terms come from them. Which of these tell the labels apart, their weights and the class rates are counted on
+    all rows. What reaches the driver is bounded by ``examples`` and TERMS.
     """
     given = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("label"))
     given = given.where(fold(F.col(key)) != 0)
@@ -154,9 +156,7 @@ def fit(
     # At most twice `examples` keys.
     drawn = docs.select(key, text).join(F.broadcast(chosen), key)
     drawn = stage(drawn.groupBy(key, "label").agg(F.min(text).alias(text)), "examples").df
-    vocabulary = _telling_terms(drawn, text)
-    n_docs, frequency = _frequencies(docs, text, vocabulary)
-    idf = np.array([math.log((1 + n_docs) / (1 + frequency.get(i, 0))) + 1 for i in range(len(vocabulary))])
+    vocabulary, idf = _vocabulary(docs, text, key, given, _candidates(drawn, text))
 
     def make():
         features = Features(vocabulary)
@@ -181,8 +181,8 @@ def fit(
     return model
 
 
-def _telling_terms(drawn: DataFrame, text: str) -> dict[str, int]:
-    """Terms by chi-square of their presence against the label, most telling first."""
+def _candidates(drawn: DataFrame, text: str) -> list[str]:
+    """Terms of the examples that are more frequent, by class rates, in toxic ones."""
 
     def make():
         def one(value, y):
@@ -195,34 +195,38 @@ def _telling_terms(drawn: DataFrame, text: str) -> dict[str, int]:
     n = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
-        return {}
+        return []
     counts = held.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
         F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")
     )
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    c, d = n1 - a, n0 - b
-    odds = a * d - b * c
-    chi = (n0 + n1) * odds * odds / ((a + b) * F.greatest(c + d, F.lit(1.0)) * n1 * n0)
-    best = counts.withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI_SQUARE).orderBy(F.col("chi").desc(), "term").limit(TERMS)
-    return {r["term"]: i for i, r in enumerate(best.select("term", "chi").collect())}
-
-
-def _frequencies(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> tuple[int, dict[int, int]]:
-    """Number of documents, and of those that hold each term: each task adds up its own, a row per term."""
-    schema = pa.schema([("term", pa.int32()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, held = Features(vocabulary), Counter()
-        for batch in batches:
-            held[-1] += batch.num_rows
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                for value in batch.column(0).slice(start, SLICE_ROWS).to_pylist():
-                    held.update(features.counts(value).keys())
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(list(held.values()), pa.int64())], schema=schema)
-
-    counted = docs.select(text).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {r["term"]: r["n"] for r in counted}
-    return found.pop(-1, 0), found
+    frequent = counts.where((F.col("a") >= max(LEAST_ROWS // 2, LEAST_SHARE / 2 * n1)) & (F.col("a") * n0 > F.col("b") * n1))
+    return [r["term"] for r in frequent.orderBy(F.col("a").desc(), "term").limit(TERMS).select("term", "a").collect()]
+
+
+def _vocabulary(
+    docs: DataFrame, text: str, key: str, labels: DataFrame, candidates: list[str]
+) -> tuple[dict[str, int], np.ndarray]:
+    """Those candidates that tell the labels of all labelled rows apart, with their inverse document frequencies.
+
+    One pass over all texts notes which candidates each holds.
+    """
+    numbers = {term: i for i, term in enumerate(candidates)}
+
+    def make():
+        features = Features(numbers)
+        return lambda value, key_value: (key_value, sorted(features.counts(value)))
+
+    kind = docs.schema[key].dataType.simpleString()
+    held = map_rows(docs, [text, key], f"`{key}` {kind}, terms array<int>", make)
+    held = stage(held, "terms", F.count(F.lit(1)).alias("n"))
+    each = held.df.select(key, F.explode("terms").alias("term"))
+    frequency = {r["term"]: r["n"] for r in each.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_label = each.join(labels, key).groupBy("term").agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("n"))
+    toxic_rows = labels.agg(F.coalesce(F.sum("label"), F.lit(0))).first()[0]
+    least = max(LEAST_ROWS, LEAST_SHARE * toxic_rows)
+    kept = sorted(r["term"] for r in by_label.collect() if r["a"] >= least and r["a"] >= LEAST_RATE * (r["n"] + 1))
+    idf = [math.log((1 + held.metrics["n"]) / (1 + frequency[i])) + 1 for i in kept]
+    return {candidates[i]: at for at, i in enumerate(kept)}, np.array(idf)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
