@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidegate.llm.common import SLICE_ROWS, map_rows
+from tidegate.llm.common import SLICE_ROWS, map_rows, ship
 from tidegate.llm.components import components
 from tidegate.operators.membership import spread_join
 from tidegate.workspace import stage
@@ -137,6 +137,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
                 kept = part.select([0, 1]).filter(pa.array(similar, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(kept.columns, schema=out)
 
+    ship(pairs.sparkSession)
     return both.mapInArrow(run, schema)
 
 
@@ -153,8 +154,9 @@ def near_duplicates(
     results, an empty table an empty one; long texts are hashed whole; other columns are ignored.
 
     Copies fold into one representative before anything is compared. In each bucket of a band, members are
-    first compared with one of them, later with another; only those that are still apart then are compared
-    each with each. Components decide who is apart, so a large group costs a few comparisons per member.
+    first compared with one of them, later with another. Of those that are in different components even then,
+    pairs are compared that can be similar by their rarest shingles (`_by_rare_shingles`), which misses none. So
+    a large group costs a few comparisons per member.
     """
     rows = stage(signatures(df, key, text, width), "signatures").df
     present = rows.where(F.col("digest").isNotNull() & F.col(key).isNotNull())
@@ -171,8 +173,11 @@ def near_duplicates(
     texts = stage(texts, "texts").df
 
     links, tried = None, None
-    for rule in ("least", "other", "each"):
-        pairs = _candidates(members, links, tried, rule, percent)
+    for rule in ("least", "other", "rare"):
+        pairs = _candidates(members, texts, links, rule, width, percent)
+        if tried is not None:
+            both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            pairs = pairs.join(both, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs", F.count(F.lit(1)).alias("n"))
         if not pairs.metrics["n"]:
             continue
@@ -197,12 +202,12 @@ def near_duplicates(
 
 
 def _candidates(
-    members: DataFrame, links: DataFrame | None, tried: DataFrame | None, rule: str, percent: int
+    members: DataFrame, texts: DataFrame, links: DataFrame | None, rule: str, width: int, percent: int
 ) -> DataFrame:
-    """Pairs (a, b) of members of one bucket that are in different components so far.
+    """Pairs (a, b) of documents that share a band and are in different components so far.
 
-    ``least`` and ``other`` pair each member with one of its bucket: the least node, or the one whose hash
-    with the band is least, so that a group meets other partners in each band. ``each`` pairs all.
+    ``least`` and ``other`` pair each member of a bucket with one of it: the least node, or the one whose hash
+    with the band is least, so that a group meets other partners in each band. ``rare`` finds all other pairs.
     """
     if links is None:
         placed = members.withColumn("c", F.col("node"))
@@ -210,21 +215,53 @@ def _candidates(
         known = components(links)
         placed = spread_join(members, known, ["node"], "left").withColumn("c", F.coalesce("component", "node"))
         mixed = placed.groupBy("band").agg(F.min("c").alias("__l"), F.max("c").alias("__h")).where("__l <> __h")
-        placed = stage(spread_join(placed, mixed.select("band"), ["band"], "inner").select("node", "n", "band", "c"), "open").df
-    if rule == "each":
-        left = placed.select("band", F.col("node").alias("a"), F.col("n").alias("__n"), F.col("c").alias("__c"))
-        right = placed.select("band", F.col("node").alias("b"), "n", "c")
-        joined = left.join(right, "band").where(F.col("__c") > F.col("c"))
-    else:
-        order = F.col("node") if rule == "least" else F.xxhash64("node", "band")
-        hub = F.min(F.struct(order.alias("o"), F.col("node").alias("b"), F.col("n").alias("__n"), F.col("c").alias("__c")))
-        hubs = placed.groupBy("band").agg(hub.alias("__hub")).select("band", "__hub.b", "__hub.__n", "__hub.__c")
-        joined = spread_join(placed.withColumnRenamed("node", "a"), hubs, ["band"], "inner").where("c <> __c")
-    pairs = joined.where(close_sizes(F.col("n"), F.col("__n"), percent)).select("a", "b").distinct()
-    if tried is not None:
-        both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = pairs.join(both, ["a", "b"], "left_anti")
-    return pairs
+        placed = spread_join(placed, mixed.select("band"), ["band"], "inner").select("node", "n", "band", "c")
+        placed = stage(placed, "apart").df
+    if rule == "rare":
+        return _by_rare_shingles(placed.select("node", "c").distinct(), texts, width, percent)
+    order = F.col("node") if rule == "least" else F.xxhash64("node", "band")
+    hub = F.min(F.struct(order.alias("o"), F.col("node").alias("b"), F.col("n").alias("__n"), F.col("c").alias("__c")))
+    hubs = placed.groupBy("band").agg(hub.alias("__hub")).select("band", "__hub.b", "__hub.__n", "__hub.__c")
+    joined = spread_join(placed.withColumnRenamed("node", "a"), hubs, ["band"], "inner").where("c <> __c")
+    return joined.where(close_sizes(F.col("n"), F.col("__n"), percent)).select("a", "b").distinct()
+
+
+def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs of ``nodes`` (node, c) of different c that may be similar, none of those that are left out.
+
+    Sets of n and m shingles that are similar enough share k = ceil(percent (n + m) / (100 + percent)) of them. So, in
+    any order of all shingles, the first one that they share is among the first n - k + 1 of the one and the first
+    m - k + 1 of the other. Rare shingles come first in the order, so few sets meet; and for each shingle only sets
+    outside its most frequent c are paired with all that hold it.
+    """
+
+    def make():
+        signer = Signer(width)
+        return lambda value, node, c: (node, c, signer.hashes(words_of(value)).view(np.int64))
+
+    held = texts.withColumnRenamed("id", "node").join(nodes, "node")
+    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
+    schema = f"node {kinds['node']}, c {kinds['c']}, shingles array<long>"
+    sets = map_rows(held, ["text", "node", "c"], schema, make)
+    sets = stage(sets.withColumn("row", F.monotonically_increasing_id()), "sets").df
+    each = sets.select("row", F.explode("shingles").alias("s"))
+    frequent = each.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    each = spread_join(each, frequent, ["s"], "left").select("row", F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s").alias("s"))
+    ordered = each.groupBy("row").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    sized = sets.select("row", "node", "c", F.size("shingles").cast("long").alias("n")).join(ordered, "row")
+    # With the smallest set that can be similar, ceil(percent n / 100) shingles are shared.
+    length = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    first = sized.select("node", "c", "n", F.posexplode(F.slice("s", F.lit(1), length)).alias("at", "s"))
+    first = stage(first.where("s.f > 1").select("node", "c", "n", "at", "s.s"), "rare").df
+    by_c = first.groupBy("s", "c").agg(F.count(F.lit(1)).alias("k"))
+    most = by_c.groupBy("s").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("cs")).where("cs > 1")
+    first = spread_join(first, most.select("s", F.col("m.c").alias("most")), ["s"], "inner")
+    left = first.where("c <> most").select("s", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"))
+    right = first.select("s", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("ay"))
+    shared = F.ceil((F.col("nx") + F.col("ny")) * percent / (100 + percent))
+    reach = (F.col("ax") <= F.col("nx") - shared) & (F.col("ay") <= F.col("ny") - shared)
+    joined = left.join(right, "s").where((F.col("cx") != F.col("cy")) & reach)
+    return joined.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def near_duplicates_sql() -> str:
