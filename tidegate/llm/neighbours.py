@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import ship
 
-DIMENSIONS, LEAF, SEED = 8, 48, 11
+DIMENSIONS, LEAF, SEED = 8, 256, 11
 CERTAINTY = 0.995
 # Vectors that one task indexes, and queries that it answers.
 BLOCK, QUERIES = 8_192, 4_096
