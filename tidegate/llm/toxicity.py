@@ -156,7 +156,7 @@ def fit(
     # At most twice `examples` keys.
     drawn = docs.select(key, text).join(F.broadcast(chosen), key)
     drawn = stage(drawn.groupBy(key, "label").agg(F.min(text).alias(text)), "examples").df
-    vocabulary, idf = _vocabulary(docs, text, key, given, _candidates(drawn, text))
+    vocabulary, idf = _vocabulary(docs, text, key, given, _candidates(drawn, text, sizes))
 
     def make():
         features = Features(vocabulary)
@@ -181,8 +181,9 @@ def fit(
     return model
 
 
-def _candidates(drawn: DataFrame, text: str) -> list[str]:
-    """Terms of the examples that are more frequent, by class rates, in toxic ones."""
+def _candidates(drawn: DataFrame, text: str, sizes: dict[int, int]) -> list[str]:
+    """Terms of the examples that, with each class counted as often as it is labelled (``sizes``), stand in toxic
+    ones at least half the time. Few texts hold any of them."""
 
     def make():
         def one(value, y):
@@ -199,7 +200,8 @@ def _candidates(drawn: DataFrame, text: str) -> list[str]:
     counts = held.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
         F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")
     )
-    frequent = counts.where((F.col("a") >= max(LEAST_ROWS // 2, LEAST_SHARE / 2 * n1)) & (F.col("a") * n0 > F.col("b") * n1))
+    often = F.col("a") >= max(LEAST_ROWS // 2, LEAST_SHARE / 2 * n1)
+    frequent = counts.where(often & (F.col("a") * (sizes[1] / n1) >= F.col("b") * (sizes[0] / n0)))
     return [r["term"] for r in frequent.orderBy(F.col("a").desc(), "term").limit(TERMS).select("term", "a").collect()]
 
 
@@ -219,9 +221,11 @@ def _vocabulary(
     kind = docs.schema[key].dataType.simpleString()
     held = map_rows(docs, [text, key], f"`{key}` {kind}, terms array<int>", make)
     held = stage(held, "terms", F.count(F.lit(1)).alias("n"))
-    each = held.df.select(key, F.explode("terms").alias("term"))
-    frequency = {r["term"]: r["n"] for r in each.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
-    by_label = each.join(labels, key).groupBy("term").agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("n"))
+    some = held.df.where(F.size("terms") > 0)
+    counted = F.count(F.lit(1)).alias("n")
+    frequency = {r["term"]: r["n"] for r in some.select(F.explode("terms").alias("term")).groupBy("term").agg(counted).collect()}
+    labelled = some.join(labels, key).select("label", F.explode("terms").alias("term"))
+    by_label = labelled.groupBy("term").agg(F.sum("label").alias("a"), counted)
     toxic_rows = labels.agg(F.coalesce(F.sum("label"), F.lit(0))).first()[0]
     least = max(LEAST_ROWS, LEAST_SHARE * toxic_rows)
     kept = sorted(r["term"] for r in by_label.collect() if r["a"] >= least and r["a"] >= LEAST_RATE * (r["n"] + 1))
