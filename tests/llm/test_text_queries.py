@@ -1,6 +1,7 @@
 """The registered text queries against their SQL, or against plain code where SQL can't express them."""
 
 import hashlib
+import os
 import re
 import zlib
 
@@ -93,6 +94,25 @@ def test_toxicity_on_held_out_rows(spark, db):
     assert right >= 0.9 * total
 
 
+def held_out_counts(rows, labels):
+    """Right and all toxic rows, and all rows predicted toxic, among labelled held-out ones."""
+    pairs = [(labels[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    return sum(y and p for y, p in pairs), sum(y for y, _ in pairs), sum(p for _, p in pairs)
+
+
+def test_toxicity_recall_and_precision(spark):
+    folder = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.1")
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = QUERIES["op8_toxicity"](spark, folder).collect()
+    right, toxic, predicted = held_out_counts(rows, labels)
+    assert toxic >= 90
+    assert right >= 0.9 * toxic
+    assert right >= 0.85 * predicted
+    # Every text has neighbours, and clean ones are among them.
+    assert all(r["evidence"] for r in rows)
+    assert sum(":0:" in r["evidence"] for r in rows) > len(rows) / 2
+
+
 def test_neighbours_recall(spark, db):
     rows = db.execute("SELECT vec_id, embedding FROM embeddings").fetchall()
     ids = np.array([r[0] for r in rows])

@@ -1,34 +1,43 @@
 """Toxicity by the nearest labelled examples.
 
-Texts are TF-IDF vectors over the terms that tell the labels apart. The nearest labelled examples by exact
-cosine vote, the nearer the more, and the votes give a calibrated score and its evidence. Examples stand in
-an inverted index whose blocks know the largest weight of each term, so that blocks which can't hold a near
-example are not read.
+Texts are TF-IDF vectors over all their terms, hashed; how far a term parts the labels enters its weight smoothly,
+and no term is cut. The nearest labelled examples by exact cosine vote, the nearer the more, and the votes give a
+calibrated score and its evidence. Examples stand in an inverted index that knows the largest weight of each term;
+terms are read by falling bound until those left can't change which examples are nearest.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import map_rows
+from tidegate.llm.common import SLICE_ROWS, map_rows, ship
 from tidegate.workspace import stage
 
 WORD = re.compile(r"[^\W\d_]+")
 # Beginnings of words are terms too, for words with endings that no example has.
 PREFIXES = (4, 5, 6)
-# Labelled rows of each class that the examples are drawn from, and the terms of theirs that are looked at.
-EXAMPLES, TERMS = 2_000, 4_000
-# A term tells if so many toxic rows, and this share of them, hold it, and if of those that hold it (and one more)
-# this share is toxic.
-LEAST_ROWS, LEAST_SHARE, LEAST_RATE = 8, 0.01, 0.9
-NEIGHBOURS, BLOCK = 15, 64
+# Labelled rows of each class that the examples are drawn from.
+EXAMPLES = 2_000
+# Terms are hashed to so many numbers, whose counts travel in parts of so many.
+BUCKETS, PART = 1 << 19, 1 << 11
+# Labelled rows, toxic at the overall rate, that each term is thought to stand in besides its own.
+SMOOTHING = 2
+NEIGHBOURS = 15
+# Places in the index that are read before it is first asked which examples can still be near, and how many of these
+# are then looked at whole.
+READ, LOOK = 8_192, 32
 FOLDS = 5
 # Words remembered by a task.
 CACHE_WORDS = 500_000
@@ -47,84 +56,127 @@ def terms_of(word: str) -> list[str]:
     return [f"={word}", *(word[:n] for n in PREFIXES if len(word) > n)]
 
 
+class Known(dict[str, tuple[int, ...]]):
+    """The hashed terms of words."""
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        # A lone surrogate can't be encoded otherwise.
+        self[word] = found = tuple(zlib.crc32(t.encode("utf-8", "surrogatepass")) % BUCKETS for t in terms_of(word))
+        return found
+
+
 class Features:
-    """Term counts of texts over a vocabulary."""
-
-    def __init__(self, vocabulary: dict[str, int]) -> None:
-        self.vocabulary = vocabulary
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        words = words_of(text)
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            found = [self.vocabulary.get(term) for term in terms_of(word)]
-            known[word] = tuple(f for f in found if f is not None)
-        counts: Counter[int] = Counter()
-        for word in [w for w in words if known[w]]:
-            counts.update(known[word])
-        return counts
+    """Hashed terms of texts."""
+
+    def __init__(self) -> None:
+        self.known = Known()
+
+    def _of(self, words: Iterable[str]) -> Iterator[tuple[int, ...]]:
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        return map(self.known.__getitem__, words)
+
+    def distinct(self, text: str | None) -> np.ndarray:
+        return np.unique(np.fromiter(chain.from_iterable(self._of(set(words_of(text)))), np.int64))
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms, ascending, and how often each stands in the text."""
+        flat = chain.from_iterable(self._of(words_of(text)))
+        return np.unique(np.fromiter(flat, np.int64), return_counts=True)
+
+
+def _ranges(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    return np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
 
 
 @dataclass
 class Model:
-    """Terms with their weights, the examples' index and the rates that votes are weighed with."""
+    """The examples' index, the weights of terms and the rates that votes are weighed with."""
 
-    vocabulary: dict[str, int]
+    arrays: dict[str, np.ndarray]
     idf: np.ndarray
     labels: np.ndarray
     keys: list[str]
     class_weight: tuple[float, float]
     prior: float
     blank: float
-    postings: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.fromiter(sorted(counts), np.int64, len(counts))
-        weights = np.array([(1 + math.log(counts[t])) * self.idf[t] for t in terms])
-        norm = math.sqrt(float(weights @ weights)) if len(terms) else 1.0
-        return terms, weights / norm
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weights = (1 + np.log(counts)) * self.idf[terms]
+        return terms, weights / (math.sqrt(float(weights @ weights)) or 1.0)
 
     def index(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Per term: the blocks that hold it, its largest weight in each, and its weights there."""
-        held: dict[int, dict[int, np.ndarray]] = {}
-        for at, (terms, weights) in enumerate(vectors):
-            for term, weight in zip(terms.tolist(), weights.tolist(), strict=True):
-                block = held.setdefault(term, {}).setdefault(at // BLOCK, np.zeros(BLOCK))
-                block[at % BLOCK] = weight
-        for term, blocks in held.items():
-            numbers = np.array(sorted(blocks))
-            rows = np.stack([blocks[b] for b in numbers])
-            self.postings[term] = (numbers, rows.max(axis=1), rows)
+        """The weights by example, and by term with the largest of each term."""
+        lengths = np.array([len(terms) for terms, _ in vectors], np.int64)
+        terms = np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32) for t, _ in vectors)])
+        weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        order = np.argsort(terms, kind="stable")
+        starts = np.searchsorted(terms[order], np.arange(len(self.idf) + 1))
+        most = np.zeros(len(self.idf))
+        np.maximum.at(most, terms, weights)
+        self.arrays = {
+            "begin": np.cumsum(lengths) - lengths,
+            "lengths": lengths,
+            "terms": terms,
+            "weights": weights,
+            "starts": starts,
+            "most": most,
+            "examples": np.repeat(np.arange(len(vectors), dtype=np.int32), lengths)[order],
+            "by_term": weights[order],
+        }
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """(-cosine, example) of the ``k`` nearest with a cosine above 0, nearest first.
 
-        Blocks are read by falling bound; once the next bound is below the k-th cosine, no block can add any.
+        Terms are read by falling bound. An example whose sum so far, with all that the terms left can add, is below
+        the k-th sum is not near; once few are left, these are looked at whole.
         """
-        n_blocks = -(-len(self.labels) // BLOCK)
-        bounds = np.zeros(n_blocks)
-        found = [(self.postings[t], w) for t, w in zip(terms.tolist(), weights.tolist(), strict=True) if t in self.postings]
-        for (numbers, most, _), weight in found:
-            bounds[numbers] += weight * most
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] * (1 + 1e-9) < -best[-1][0]):
+        held = self.arrays
+        order = np.argsort(-(weights * held["most"][terms]), kind="stable")
+        terms, weights = terms[order], weights[order]
+        bounds = weights * held["most"][terms]
+        begin = held["starts"][terms]
+        lengths = held["starts"][terms + 1] - begin
+        read = np.cumsum(lengths)
+        rest = np.append(np.cumsum(bounds[::-1])[::-1], 0.0) * (1 + 1e-9)
+        budget = READ
+        while True:
+            n = max(1, int(np.searchsorted(read, budget, "right")))
+            at = _ranges(begin[:n], lengths[:n])
+            scores = np.bincount(
+                held["examples"][at], held["by_term"][at] * np.repeat(weights[:n], lengths[:n]), minlength=len(self.labels)
+            )
+            if n >= len(terms):
+                break
+            kth = float(np.partition(scores, -k)[-k]) if len(scores) > k else 0.0
+            able = np.flatnonzero(scores + rest[n] >= kth)
+            if len(able) <= LOOK:
+                scores = np.zeros(len(scores))
+                scores[able] = self._whole(able, terms, weights)
                 break
-            scores = np.zeros(BLOCK)
-            for (numbers, _, rows), weight in found:
-                at = int(np.searchsorted(numbers, block))
-                if at < len(numbers) and numbers[at] == block:
-                    scores += weight * rows[at]
-            best += [(-float(scores[i]), block * BLOCK + int(i)) for i in np.flatnonzero(scores > 0)]
-            best = sorted(best)[:k]
-        return best
-
-    def score(self, counts: dict[int, int]) -> tuple[float, str]:
+            budget *= 4
+        found = np.flatnonzero(scores > 0)
+        if len(found) > k:
+            found = found[scores[found] >= np.partition(scores[found], -k)[-k]]
+        return sorted((-float(scores[i]), int(i)) for i in found)[:k]
+
+    def _whole(self, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The cosines of some examples."""
+        held = self.arrays
+        query = held.get("query")
+        if query is None:
+            query = held["query"] = np.zeros(len(self.idf))
+        query[terms] = weights
+        lengths = held["lengths"][examples]
+        at = _ranges(held["begin"][examples], lengths)
+        products = held["weights"][at] * query[held["terms"][at]]
+        query[terms] = 0
+        return np.bincount(np.repeat(np.arange(len(examples)), lengths), products, minlength=len(examples))
+
+    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, str]:
         """The score of a text, and its three nearest examples as ``key:label:cosine``."""
-        near = self.nearest(*self.vector(counts)) if counts else []
+        near = self.nearest(*self.vector(terms, counts)) if len(terms) and len(self.labels) else []
         if not near:
             return self.blank, ""
         # Places that no neighbour takes vote as all labelled rows do.
@@ -143,9 +195,9 @@ def fit(
 ) -> Model:
     """Learn from the labelled rows outside fold 0.
 
-    At most ``examples`` rows of each class, those whose hashed key is least, are the examples, and candidates for
-    terms come from them. Which of these tell the labels apart, their weights and the class rates are counted on
-    all rows. What reaches the driver is bounded by ``examples`` and TERMS.
+    At most ``examples`` rows of each class, those whose hashed key is least, are the examples, with all their terms.
+    The weights of terms and the class rates are counted on all rows. What reaches the driver is bounded by BUCKETS and
+    the terms of the examples.
     """
     given = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("label"))
     given = given.where(fold(F.col(key)) != 0)
@@ -155,98 +207,88 @@ def fit(
     chosen = stage(chosen[0].unionByName(chosen[1]), "chosen").df
     # At most twice `examples` keys.
     drawn = docs.select(key, text).join(F.broadcast(chosen), key)
-    drawn = stage(drawn.groupBy(key, "label").agg(F.min(text).alias(text)), "examples").df
-    vocabulary, idf = _vocabulary(docs, text, key, given, _candidates(drawn, text, sizes))
+    drawn = drawn.groupBy(key, "label").agg(F.min(text).alias(text))
+    idf = _weights(docs, text, key, given)
 
     def make():
-        features = Features(vocabulary)
+        features = Features()
 
         def one(value, key_value, y):
-            counts = features.counts(value)
-            return str(key_value), y, list(counts), list(counts.values())
+            terms, counts = features.counts(value)
+            return str(key_value), y, terms.astype(np.int32).tobytes(), counts.astype(np.int32).tobytes()
 
         return one
 
-    rows = map_rows(drawn, [text, key, "label"], "id string, label int, terms array<int>, counts array<int>", make).collect()
+    rows = map_rows(drawn, [text, key, "label"], "id string, label int, terms binary, counts binary", make).collect()
     rows.sort(key=lambda r: (-r["label"], r["terms"], r["id"]))
     weights = tuple(sizes.get(y, 0) / max(1, sum(r["label"] == y for r in rows)) for y in (0, 1))
     prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    filled = [r for r in rows if r["terms"]]
+    filled = [r for r in rows if r["terms"]] if len(sizes) > 1 else []
     blank = Counter(r["label"] for r in rows if not r["terms"])
     blank_rate = (blank[1] * weights[1] + prior) / (blank[0] * weights[0] + blank[1] * weights[1] + 1)
-    model = Model(
-        vocabulary, idf, np.array([r["label"] for r in filled], int), [r["id"] for r in filled], weights, prior, blank_rate
-    )
-    model.index([model.vector(dict(zip(r["terms"], r["counts"], strict=True))) for r in filled])
+    model = Model({}, idf, np.array([r["label"] for r in filled], int), [r["id"] for r in filled], weights, prior, blank_rate)
+    model.index([model.vector(*(np.frombuffer(r[c], np.int32) for c in ("terms", "counts"))) for r in filled])
     return model
 
 
-def _candidates(drawn: DataFrame, text: str, sizes: dict[int, int]) -> list[str]:
-    """Terms of the examples that, with each class counted as often as it is labelled (``sizes``), stand in toxic
-    ones at least half the time. Few texts hold any of them."""
-
-    def make():
-        def one(value, y):
-            words = set(words_of(value))
-            return y, sorted({t for word in words for t in terms_of(word)})
-
-        return one
+def _weights(docs: DataFrame, text: str, key: str, labels: DataFrame) -> np.ndarray:
+    """The weight of each hashed term: its inverse document frequency in ``docs`` times the cube of how far its
+    smoothed log-odds of toxic against clean, among all labelled rows that hold it, are from those of all labelled rows.
 
-    held = map_rows(drawn, [text, "label"], "label int, terms array<string>", make)
-    n = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = n.get(0, 0), n.get(1, 0)
-    if not n0 or not n1:
-        return []
-    counts = held.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")
-    )
-    often = F.col("a") >= max(LEAST_ROWS // 2, LEAST_SHARE / 2 * n1)
-    frequent = counts.where(often & (F.col("a") * (sizes[1] / n1) >= F.col("b") * (sizes[0] / n0)))
-    return [r["term"] for r in frequent.orderBy(F.col("a").desc(), "term").limit(TERMS).select("term", "a").collect()]
-
-
-def _vocabulary(
-    docs: DataFrame, text: str, key: str, labels: DataFrame, candidates: list[str]
-) -> tuple[dict[str, int], np.ndarray]:
-    """Those candidates that tell the labels of all labelled rows apart, with their inverse document frequencies.
-
-    One pass over all texts notes which candidates each holds.
+    One pass over all texts counts rows by term in each task; the sums are added up by part.
     """
-    numbers = {term: i for i, term in enumerate(candidates)}
-
-    def make():
-        features = Features(numbers)
-        return lambda value, key_value: (key_value, sorted(features.counts(value)))
-
-    kind = docs.schema[key].dataType.simpleString()
-    held = map_rows(docs, [text, key], f"`{key}` {kind}, terms array<int>", make)
-    held = stage(held, "terms", F.count(F.lit(1)).alias("n"))
-    some = held.df.where(F.size("terms") > 0)
-    counted = F.count(F.lit(1)).alias("n")
-    frequency = {r["term"]: r["n"] for r in some.select(F.explode("terms").alias("term")).groupBy("term").agg(counted).collect()}
-    labelled = some.join(labels, key).select("label", F.explode("terms").alias("term"))
-    by_label = labelled.groupBy("term").agg(F.sum("label").alias("a"), counted)
-    toxic_rows = labels.agg(F.coalesce(F.sum("label"), F.lit(0))).first()[0]
-    least = max(LEAST_ROWS, LEAST_SHARE * toxic_rows)
-    kept = sorted(r["term"] for r in by_label.collect() if r["a"] >= least and r["a"] >= LEAST_RATE * (r["n"] + 1))
-    idf = [math.log((1 + held.metrics["n"]) / (1 + frequency[i])) + 1 for i in kept]
-    return {candidates[i]: at for at, i in enumerate(kept)}, np.array(idf)
+    ship(docs.sparkSession)
+    pairs = docs.select(key, text).join(labels, key, "left").select(text, "label")
+    schema = "part int, counts binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        # Of all rows, of labelled and of toxic ones; the last place of each counts the rows themselves.
+        sums = np.zeros((3, BUCKETS + PART), np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                texts, given = (c.to_pylist() for c in batch.slice(start, SLICE_ROWS).columns)
+                held = [features.distinct(value) for value in texts]
+                for at, kinds in enumerate(((None, 0, 1), (0, 1), (1,))):
+                    some = [h for h, y in zip(held, given, strict=True) if y in kinds]
+                    sums[at] += np.bincount(np.concatenate([np.zeros(0, np.int64), *some]), minlength=BUCKETS + PART)
+                    sums[at, BUCKETS] += len(some)
+        parts = [p for p in range(BUCKETS // PART + 1) if sums[0, p * PART : (p + 1) * PART].any()]
+        counts = [sums[:, p * PART : (p + 1) * PART].astype(np.int32).tobytes() for p in parts]
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(counts, pa.binary())], ["part", "counts"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(3 * PART, np.int64)
+        for value in rows["counts"]:
+            total += np.frombuffer(value, np.int32)
+        return pd.DataFrame({"part": rows["part"][:1], "counts": [total.tobytes()]})
+
+    sums = np.zeros((3, BUCKETS + PART), np.int64)
+    for r in pairs.mapInArrow(run, schema).groupBy("part").applyInPandas(add, schema).collect():
+        sums[:, r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["counts"], np.int64).reshape(3, PART)
+    (n, labelled, toxic), (n_rows, n_labelled, n_toxic) = sums[:, :BUCKETS], sums[:, BUCKETS].tolist()
+    if not 0 < n_toxic < n_labelled:
+        return np.zeros(BUCKETS)
+    overall = n_toxic / n_labelled
+    rate = (toxic + SMOOTHING * overall) / (labelled + SMOOTHING)
+    odds = np.log(rate / (1 - rate)) - math.log(overall / (1 - overall))
+    return (np.log((1 + n_rows) / (1 + n)) + 1) * np.abs(odds) ** 3
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns, score (0 to 1), predicted (1 if score >= 0.5) and evidence of each text.
 
-    A NULL or empty text, or one without any telling term, has no neighbours: its score is the smoothed rate of
-    toxic examples of that kind, its evidence empty. Texts are read whole, repeated rows give repeated
+    A NULL or empty text, or one that shares no term with any example, has no neighbours: its score is the smoothed
+    rate of toxic examples without words, its evidence empty. Texts are read whole, repeated rows give repeated
     results, an empty table an empty one. Without labels of both classes every text gets the base rate. Only the
     text enters a score.
     """
 
     def make():
-        features = Features(model.vocabulary)
+        features = Features()
 
         def one(value, *kept):
-            points, evidence = model.score(features.counts(value))
+            points, evidence = model.score(*features.counts(value))
             return (*kept, points, int(points >= 0.5), evidence)
 
         return one
