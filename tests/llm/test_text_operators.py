@@ -1,6 +1,7 @@
 """Edge cases of the text operators: NULLs, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -318,3 +319,17 @@ def test_blocks_skip_nothing_near():
         query[terms] = weights
         expected = sorted(-s for s in dense @ query if s > 0)[:15]
         assert [c for c, _ in model.nearest(terms, weights)] == pytest.approx(expected)
+
+
+def test_few_labels_still_tell(docs, spark):
+    """Five toxic rows teach a word; a term of a few rows is smoothed, not dropped."""
+    draw = random.Random(4)
+    plain = ["".join(draw.choice("abcdefghijkl") for _ in range(7)) for _ in range(400)]
+    prose = lambda n: " ".join(draw.choice(plain) for _ in range(n))
+    keys = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:40]
+    texts = [(k, f"{prose(15)} {'you grobian' if at < 5 else 'and so'} {prose(5)}") for at, k in enumerate(keys)]
+    asked = [(1000 + i, f"{prose(15)} {'you grobian' if i < 10 else 'and so'} {prose(5)}") for i in range(20)]
+    labels = spark.createDataFrame([(k, int(at < 5)) for at, k in enumerate(keys)], "doc_id long, toxic int")
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.classify(docs(*texts, *asked), labels).collect()}
+    assert sum(found[1000 + i] for i in range(10)) >= 8
+    assert sum(found[1010 + i] for i in range(10)) <= 2
