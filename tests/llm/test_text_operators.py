@@ -333,3 +333,19 @@ def test_few_labels_still_tell(docs, spark):
     found = {r["doc_id"]: r["predicted"] for r in toxicity.classify(docs(*texts, *asked), labels).collect()}
     assert sum(found[1000 + i] for i in range(10)) >= 8
     assert sum(found[1010 + i] for i in range(10)) <= 2
+
+
+def test_no_term_is_crowded_out(docs, spark):
+    """Thousands of words that more toxic rows hold don't cost a rarer one its place."""
+    keys = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5][:100]
+    common = [f"{a}{b}{c}" for a in "abcdefghijklmnopq" for b in "abcdefghijklmnopq" for c in "abcdefghijklmnopq"]
+
+    def text(at):
+        rare = "schuft" if at < 9 else ""
+        return f"{' '.join(common) if at < 50 and at % 5 else 'plain'} {rare}"
+
+    labels = spark.createDataFrame([(k, int(at < 50)) for at, k in enumerate(keys)], "doc_id long, toxic int")
+    given = docs(*((k, text(at)) for at, k in enumerate(keys)), (1000, "schuft"))
+    row = {r["doc_id"]: r for r in toxicity.classify(given, labels).collect()}[1000]
+    assert row["evidence"].count(":1:") == 3
+    assert row["predicted"] == 1
