@@ -105,6 +105,15 @@ def test_field_finds_what_the_patterns_miss(docs):
     assert field.find("reach +1 (212) 555-0000 today") == [(6, pii.PHONE, 23)]
 
 
+def test_long_texts_of_numbers_are_not_the_sample(docs):
+    numbers = [(i, "\n".join(f"row {i * 1000 + k} of" for k in range(1_000))) for i in range(40)]
+    mails = [(100 + i, f"write to ann{i}@mail{i}.org today") for i in range(12)]
+    field = pii.train(docs(*numbers, *mails))
+    assert field.weights.any()
+    assert field.find("ask bob.x@host.net now") == [(4, pii.EMAIL, 18)]
+    assert max(sum(part == k for part, *_ in pii.sample(numbers[0][1])) for k in range(len(pii.SAMPLE))) == pii.QUOTA
+
+
 def test_base_patterns_take_long_runs(docs):
     text = "a" * 50_000 + "@" + "1" * 50_000 + "." * 1000 + "+" + "1" * 50_000
     assert pii.base_spans(text) == []

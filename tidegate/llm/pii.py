@@ -2,7 +2,7 @@
 
 The field scores whole candidate segments of tokens by features of the span, and dynamic programming over
 segments of bounded length chooses boundaries and types together. It learns from the places that the base
-patterns find in a bounded sample of texts, and finds further ones that they miss.
+patterns find in a bounded sample of windows, drawn by kind from all texts, and finds further ones that they miss.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import map_rows, spans_text
+from tidegate.workspace import stage
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -32,8 +33,10 @@ TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|.", re.DOTALL)
 SPACE = frozenset(" \t\n\r\x0b\x0c")
 # Tokens of the longest segment.
 REACH = 24
-# The sample: texts, windows and tokens of a window that the field learns from; then the steps and their size.
-SAMPLE_TEXTS, SAMPLE_WINDOWS, WINDOW_TOKENS = 600, 300, 60
+# The sample: windows with each kind, windows without any that look like one (so many digits or an @) and others;
+# how many of each a text gives, and the tokens of a window that the field learns from; then the steps and their size.
+SAMPLE, HARD_DIGITS = (40, 40, 40, 40, 80, 80), 7
+QUOTA, WINDOW_TOKENS = 3, 60
 STEPS, RATE, SHRINK = 60, 0.3, 0.01
 
 Span = tuple[int, int, int]
@@ -273,26 +276,41 @@ def _expected(grid: Lattice, scores: np.ndarray) -> np.ndarray:
     return np.exp(scores + (left[grid.starts] + right[grid.ends] - left[n])[:, None])
 
 
+def sample(text: str | None) -> list[tuple[int, str, int, int]]:
+    """At most QUOTA windows of each part of SAMPLE as (part, text, start, end), with the characters around them."""
+    found: list[tuple[int, str, int, int]] = []
+    taken = [0] * len(SAMPLE)
+    for s, e in windows(text or ""):
+        if e - s > 8 * WINDOW_TOKENS or min(taken) >= QUOTA:
+            continue
+        cut, start = text[max(0, s - 1) : e + 1], min(s, 1)
+        end = start + e - s
+        if sum(1 for _ in TOKEN.finditer(cut, start, end)) > WINDOW_TOKENS:
+            continue
+        parts = {kind for a, kind, b in base_spans(cut) if start <= a and b <= end}
+        hard = "@" in cut or len(only_digits(cut)) >= HARD_DIGITS
+        for part in parts or {len(KINDS) if hard else len(KINDS) + 1}:
+            if taken[part] < QUOTA:
+                taken[part] += 1
+                found.append((part, cut, start, end))
+    return found
+
+
 def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> Field:
-    """A field learned from at most SAMPLE_TEXTS texts that hold a digit or an @, those of least hash."""
-    hinted = df.where(F.col(text).rlike("[0-9@]") & F.col(key).isNotNull())
-    order = F.xxhash64(F.col(key).cast("string"))
-    chosen = hinted.select(F.col(key), order.alias("__h")).distinct().orderBy("__h", key).limit(SAMPLE_TEXTS)
-    # At most SAMPLE_TEXTS keys.
-    drawn = df.select(key, text).join(F.broadcast(chosen), key)
+    """A field learned from windows of all texts: distinct ones of least hash, as many of each part as SAMPLE says."""
+    hinted = df.where(F.col(text).rlike("[0-9@]"))
 
     def make():
-        def one(value, h):
-            cut = [(value[max(0, s - 1) : e + 1], min(s, 1), min(s, 1) + e - s) for s, e in windows(value or "")]
-            cut = [c for c in cut if len(c[0]) <= 8 * WINDOW_TOKENS][:SAMPLE_WINDOWS]
-            return h, *([list(c) for c in zip(*cut, strict=True)] if cut else [[], [], []])
-
-        return one
+        return lambda value: (sample(value),)
 
-    schema = "h long, texts array<string>, starts array<int>, ends array<int>"
-    rows = map_rows(drawn, [text, "__h"], schema, make).collect()
-    found = sorted((r["h"], *w) for r in rows for w in zip(r["texts"], r["starts"], r["ends"], strict=True))
-    return learn([w[1:] for w in found[:SAMPLE_WINDOWS]])
+    schema = "w array<struct<part:int,cut:string,start:int,end:int>>"
+    drawn = map_rows(hinted, [text], schema, make).select(F.inline("w")).distinct()
+    drawn = stage(drawn, "windows").df
+    order = [F.xxhash64("cut"), "cut", "start", "end"]
+    found = []
+    for part, most in enumerate(SAMPLE):
+        found += [r[1:] for r in drawn.where(F.col("part") == part).orderBy(*order).limit(most).collect()]
+    return learn(sorted(set(found)))
 
 
 def scan(
@@ -305,7 +323,7 @@ def scan(
 
     A NULL or empty text has none. Texts are read whole; the time for a window grows with its length times the
     longest segment. Repeated rows give repeated results, an empty table an empty one. Where the base patterns
-    find nothing in the sample the field finds nothing. Other columns are ignored.
+    find nothing in any text the field finds nothing. Other columns are ignored.
     """
     weights = (field or train(df, key, text)).weights
 
