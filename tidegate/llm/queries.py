@@ -8,7 +8,20 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import licenses, lines, merkle, minhash, mixing, neighbours, pii, secrets, sentencepiece, toxicity
+from tidegate.llm import (
+    infill,
+    licenses,
+    lines,
+    merkle,
+    minhash,
+    mixing,
+    neighbours,
+    pii,
+    secrets,
+    sentencepiece,
+    toxicity,
+    whitening,
+)
 from tidegate.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +104,21 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op3_pii"] = op3_pii
 
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op12_infill"] = op12_infill
+SQL["op12_infill"] = infill.digests_sql()
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op13_whitening"] = op13_whitening
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
