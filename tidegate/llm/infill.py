@@ -33,6 +33,8 @@ ORDER = {
 }
 # Units in a piece, and characters that are looked at at a time.
 UNITS, STRETCH = 8_192, 1 << 20
+# Bytes of text that a partition is to hold.
+PARTITION_BYTES = 128 << 20
 # The first piece of a row states its form; restored rows begin with the digest of the output.
 HEAD = -1
 
@@ -186,12 +188,14 @@ def numbered(df: DataFrame, key: str, text: str) -> DataFrame:
 def sorted_pieces(df: DataFrame, key: str = "doc_id", text: str = "text") -> RDD:
     """((row, place in the output), chunk) of all rows, those of a row in one partition and in order.
 
-    The number of partitions grows with the input: as many as it is read in, or the session's shuffle partitions if
-    these are more.
+    The number of partitions follows the bytes of the texts, which are summed first, and is that of the session's shuffle
+    partitions at least.
     """
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
     rows = numbered(df, key, text).rdd
-    partitions = max(rows.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    partitions = max(-(-size // PARTITION_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = rows.flatMap(lambda r: pieces(r["row"], r["k"], r["t"], r["d"]))
     return found.repartitionAndSortWithinPartitions(partitions, by_row)
 
