@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.llm import (
+    contamination,
     infill,
     licenses,
     lines,
@@ -105,6 +106,14 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op3_pii"] = op3_pii
 
 
+def op11_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op11_contamination"] = op11_contamination
+SQL["op11_contamination"] = contamination.decontaminate_sql()
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(table(spark, sf_dir, "documents"))
 
