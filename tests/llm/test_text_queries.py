@@ -24,7 +24,7 @@ def db():
 
 def test_all_are_registered():
     names = set(contract.queries())
-    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) <= names
     assert "pipeline" in names
 
