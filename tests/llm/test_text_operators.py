@@ -1,7 +1,10 @@
 """Edge cases of the text operators: NULLs, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -311,33 +314,105 @@ def test_examples_vote(docs, spark):
     assert 0 <= found[902]["score"] < 0.5
 
 
-def test_blocks_skip_nothing_near():
+@pytest.mark.parametrize("common", [0, 7, 50])
+def test_blocks_skip_nothing_near(monkeypatch, common):
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    monkeypatch.setattr(toxicity, "FIRST_SHARE", 0.1)
     draw = np.random.default_rng(1)
     vectors = []
     for _ in range(300):
         terms = np.sort(draw.choice(50, 5, replace=False))
         weights = draw.random(5)
         vectors.append((terms, weights / np.sqrt(weights @ weights)))
-    model = toxicity.Model({}, np.ones(50), np.zeros(300, int), [""] * 300, (1, 1), 0.1, 0.1)
-    model.index(vectors)
+    labels = [int(i % 5 == 0) for i in range(300)]
+    index = toxicity.Index(vectors, labels, 50)
     dense = np.zeros((300, 50))
     for row, (terms, weights) in zip(dense, vectors, strict=True):
         row[terms] = weights
-    for terms, weights in vectors[:40]:
+    found = index.nearest(vectors[:40], 15)
+    alone = index.nearest(vectors[:40], 15, [int(s) for s in index.slots[:40]])
+    for at, (terms, weights) in enumerate(vectors[:40]):
         query = np.zeros(50)
         query[terms] = weights
-        expected = sorted(-s for s in dense @ query if s > 0)[:15]
-        assert [c for c, _ in model.nearest(terms, weights)] == pytest.approx(expected)
+        for label in (0, 1):
+            cosines = [(s, i) for i, s in enumerate(dense @ query) if s > 0 and labels[i] == label]
+            assert [c for c, _ in found[at][label]] == pytest.approx(sorted((s for s, _ in cosines), reverse=True)[:15], abs=1e-6)
+            others = sorted((s for s, i in cosines if i != at), reverse=True)[:15]
+            assert [c for c, _ in alone[at][label]] == pytest.approx(others, abs=1e-6)
+            assert all(dense[list(index.slots).index(slot)] @ query == pytest.approx(c, abs=1e-6) for c, slot in found[at][label])
+
+
+def plain_shares(texts, examples, all_texts, without=()):
+    """The toxic share of the votes, by plain dictionaries."""
+    words = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    terms = lambda t: Counter(w[:n] for w in words(t) for n in (4, 5) if len(w) >= n)
+    vocabulary = {t for x, _ in examples for t in terms(x)}
+    df = Counter(t for x in all_texts for t in terms(x) if t in vocabulary)
+    idf = {t: math.log((1 + len(all_texts)) / (1 + df[t])) + 1 for t in vocabulary}
+
+    def unit(x):
+        v = {t: n * idf[t] for t, n in terms(x).items() if t in vocabulary}
+        norm = math.sqrt(sum(w * w for w in v.values())) or 1
+        return {t: w / norm for t, w in v.items()}
+
+    held, shares = [(unit(x), y) for x, y in examples], []
+    for at, text in enumerate(texts):
+        v, means = unit(text), []
+        for label in (0, 1):
+            cosines = [sum(w * e.get(t, 0) for t, w in v.items()) for i, (e, y) in enumerate(held) if y == label and (i != at or not without)]
+            places = min(15, len(cosines))
+            means.append(sum(c**8 for c in sorted(cosines, reverse=True)[:15]) / max(places, 1))
+        shares.append(means[1] / sum(means) if sum(means) else None)
+    return shares
+
+
+def test_scores_equal_plain_voting(docs, spark):
+    draw = random.Random(6)
+    plain = ["".join(draw.choice("abcdefé") for _ in range(draw.randint(3, 7))) for _ in range(60)]
+    prose = lambda: " ".join(draw.choice(plain) for _ in range(30))
+    keys = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5][:120]
+    texts = [f"{prose()} {'Grobian!' if draw.random() < 0.8 and at % 3 == 0 else 'friendly'} {prose()}" for at in range(120)]
+    asked = [f"{prose()} {draw.choice(['grobians', 'friends', ''])}" for _ in range(40)]
+    answers = [int(at % 3 == 0) for at in range(120)]
+    given = docs(*zip(keys, texts, strict=True), *((1000 + i, t) for i, t in enumerate(asked)))
+    labels = spark.createDataFrame(list(zip(keys, answers, strict=True)), "doc_id long, toxic int")
+    found = {r["doc_id"]: r["score"] for r in toxicity.classify(given, labels).collect()}
+    examples = sorted(zip(map(str, keys), texts, answers, strict=True), key=lambda e: (e[2], e[0]))
+    examples = [(t, y) for _, t, y in examples]
+    own = plain_shares([t for t, _ in examples], examples, texts + asked, without=True)
+    knots = toxicity.isotonic(np.array(own), np.array([y for _, y in examples], float), np.ones(120), 40 / 120)
+    for i, share in enumerate(plain_shares(asked, examples, texts + asked)):
+        assert found[1000 + i] == pytest.approx(float(np.interp(share, *knots)), abs=1e-4)
+
+
+def test_isotonic_levels():
+    x, y = np.array([0.1, 0.2, 0.3, 0.4, 0.4, 0.9]), np.array([0, 1, 0, 1, 0, 1.0])
+    at, level = toxicity.isotonic(x, y, np.ones(6), 0.5)
+    assert list(level) == sorted(level) and list(at) == sorted(at)
+    assert level[0] == pytest.approx(0.5 / 2) and level[-1] == pytest.approx(1.5 / 2)
+    # Between them 0.2 to 0.4 pool: two of four are toxic.
+    assert level[1] == pytest.approx(2.5 / 5)
+
+
+def test_long_examples_are_not_drawn(docs, spark):
+    keys = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:40]
+    texts = [(k, f"{'grobian' if at % 2 else 'friendly'} text") for at, k in enumerate(keys)]
+    long = (keys[0], "grobian " * 10_000)
+    labels = spark.createDataFrame([(k, at % 2) for at, k in enumerate(keys)], "doc_id long, toxic int")
+    model = toxicity.fit(docs(long, *texts[1:]), labels)
+    assert model.sizes == (19, 20)
+    assert max(map(len, model.vocabulary)) <= 5
 
 
 def test_few_labels_still_tell(docs, spark):
-    """Five toxic rows teach a word; a term of a few rows is smoothed, not dropped."""
+    """Five toxic rows teach a word that stands out in them. By plain cosine a word said once among twenty does not."""
     draw = random.Random(4)
     plain = ["".join(draw.choice("abcdefghijkl") for _ in range(7)) for _ in range(400)]
     prose = lambda n: " ".join(draw.choice(plain) for _ in range(n))
     keys = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:40]
-    texts = [(k, f"{prose(15)} {'you grobian' if at < 5 else 'and so'} {prose(5)}") for at, k in enumerate(keys)]
-    asked = [(1000 + i, f"{prose(15)} {'you grobian' if i < 10 else 'and so'} {prose(5)}") for i in range(20)]
+    texts = [(k, f"{prose(8)} {'you grobian, grobian, grobian' if at < 5 else 'and so'} {prose(4)}") for at, k in enumerate(keys)]
+    asked = [(1000 + i, f"{prose(8)} {'you grobian, grobian, grobian' if i < 10 else 'and so'} {prose(4)}") for i in range(20)]
     labels = spark.createDataFrame([(k, int(at < 5)) for at, k in enumerate(keys)], "doc_id long, toxic int")
     found = {r["doc_id"]: r["predicted"] for r in toxicity.classify(docs(*texts, *asked), labels).collect()}
     assert sum(found[1000 + i] for i in range(10)) >= 8
