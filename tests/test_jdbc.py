@@ -3,11 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidegate.plans import database as plan
 from tidegate.plans.specs import DatabaseEntity
 from tidegate.sinks import jdbc as sink
 from tidegate.sinks import ledger
+from tidegate.sinks.reach import Reach, reach_of
 from tidegate.sinks.targets import JdbcTarget, append_absent, write_chunks
 from tidegate.sources import jdbc as source
 
@@ -67,6 +69,80 @@ def test_decimal_bounds_are_whole_numbers(spark, loaded):
     assert source.partitioned_scan(spark, loaded, query, "A", 3).count() == source.row_count(source.scan(spark, loaded, query))
 
 
+@pytest.mark.parametrize("kind", ["BIGINT", "DECIMAL(20,2)", "DOUBLE", "DATE", "TIMESTAMP"])
+def test_balanced_scan(spark, database, kind):
+    skewed = spark.range(4000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN NULL WHEN id < 3600 THEN id ELSE id * id END AS n")
+    value = {"DATE": "date_add(date'2000-01-01', CAST(n % 20000 AS INT))", "TIMESTAMP": "timestamp_seconds(n)"}.get(kind, f"CAST(n AS {kind})")
+    rows_in = skewed.selectExpr("id", f"{value} AS c")
+    sink.write(rows_in, database, "skewed")
+    df = source.balanced_scan(spark, database, "SELECT * FROM skewed", '"c"', 8)
+    assert rows(df) == rows(rows_in)
+    sizes = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert 7 <= len(sizes) <= 8 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_balanced_scan_edges(spark, database):
+    sink.write(spark.createDataFrame([(None,), (5,), (5,), (5,)], "c int"), database, "fews")
+    df = source.balanced_scan(spark, database, "SELECT * FROM fews", '"c"', 4)
+    assert rows(df.where("c IS NOT NULL")) == [(5,)] * 3 and df.count() == 4
+    sink.write(spark.createDataFrame([(None,)], "c int"), database, "empties")
+    assert source.balanced_scan(spark, database, "SELECT * FROM empties", '"c"', 4).count() == 1
+
+
+def rows_read(spark, run):
+    """What ``run`` gives, and the rows that JDBC and file scans read meanwhile."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    result = run()
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    total = 0
+    executions = store.executionsList()
+    for k in range(before, executions.size()):
+        execution = executions.apply(k)
+        values = store.executionMetrics(execution.executionId())
+        nodes = store.planGraph(execution.executionId()).allNodes()
+        for n in range(nodes.size()):
+            node = nodes.apply(n)
+            if node.name().startswith("Scan JDBC"):
+                for m in range(node.metrics().size()):
+                    metric = node.metrics().apply(m)
+                    if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                        total += int(values.apply(metric.accumulatorId()).replace(",", ""))
+    return result, total
+
+
+@pytest.mark.parametrize("kind", ["BIGINT", "STRING"])
+def test_a_small_batch_reads_few_keys(spark, database, kind):
+    held = spark.range(100_000).selectExpr(f"CAST(id AS {kind}) AS K", "id AS V")
+    sink.write(held, database, "big", options={"createTableColumnTypes": "K VARCHAR(20)"} if kind == "STRING" else {})
+    batch = spark.range(99_950, 100_050).selectExpr(f"CAST(id AS {kind}) AS K", "id AS V")
+    added, read = rows_read(spark, lambda: append_absent(batch, JdbcTarget(database), "big", ["k"]))
+    assert added == 50
+    assert 0 < read < 10_000
+    total = source.scan(spark, database, "SELECT * FROM big").where("K IS NOT NULL")
+    assert total.count() == 100_050
+
+
+def test_a_large_batch_reads_ranges(spark, database):
+    held = spark.range(20_000).selectExpr("id AS K")
+    sink.write(held, database, "ranges")
+    batch = spark.range(3_000).selectExpr("CASE WHEN id < 1500 THEN id ELSE id + 18000 END AS K")
+    reach = reach_of(batch, "K")
+    assert reach.values is None and len(reach.ranges) == 16
+    assert sum(high - low + 1 for low, high in reach.ranges) < 4_500
+    added, read = rows_read(spark, lambda: append_absent(batch, JdbcTarget(database), "ranges", ["K"]))
+    assert added == 1_000
+    assert 0 < read < 5_000
+
+
+def test_reach_of_any_batch(spark):
+    some = spark.createDataFrame([("o'b", 1.5), (None, None)], "t string, d double")
+    assert reach_of(some, "t").predicates('"t"') == ["\"t\" IN ('o''b')"]
+    assert reach_of(some, "d") == Reach()
+    assert reach_of(some.limit(0), "t").predicates("t") == ["1 = 0"]
+    assert reach_of(spark.range(2_000).selectExpr("CAST(id AS STRING) AS t"), "t").predicates("t") == []
+
+
 def test_truncate_insert(spark, customers, loaded):
     sink.write(customers.limit(3), loaded, "customer", "truncate_insert")
     assert source.scan(spark, loaded, "SELECT * FROM customer").count() == 3

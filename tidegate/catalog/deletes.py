@@ -66,6 +66,14 @@ def delete_candidates_incremental(spark, sf_dir):
     return deletes.missing_keys(deletes.held_keys(_current(spark, sf_dir), KEY), _source(spark, sf_dir), KEY)
 
 
+@query(f"SELECT order_key, false AS equal_differ FROM ({MISSING})")
+def reconcile_by_digest(spark, sf_dir):
+    """Candidates from the buckets of keys whose digests differ; equal sides have no such bucket."""
+    held, source = deletes.held_keys(_current(spark, sf_dir), KEY), _source(spark, sf_dir)
+    equal = deletes.differing_buckets(source, source.repartition(7), KEY).isEmpty()
+    return deletes.missing_by_digest(held, source, KEY).withColumn("equal_differ", F.lit(not equal))
+
+
 @query(MISSING_FULL)
 def delete_candidates_full(spark, sf_dir):
     held = deletes.held_keys(_current(spark, sf_dir), KEY)
@@ -156,5 +164,5 @@ def events_clustered(spark, sf_dir):
     folder = scratch_path(spark, "deletes")
     state = DeleteTables(f"{folder}/snapshot", f"{folder}/events", f"{folder}/current", KEY)
     detect(spark, state, _source(spark, sf_dir), _current(spark, sf_dir), AS_OF)
-    optimize(spark, state)
+    optimize(spark, state, file_bytes=1 << 14)
     return _shown(spark.read.parquet(state.events))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import functions as F
 
@@ -10,7 +12,17 @@ from tidegate.catalog.registry import query, table
 from tidegate.plans import database, lake
 from tidegate.plans.specs import DatabaseEntity, LakeEntity
 from tidegate.sinks import ledger
-from tidegate.sinks.tables import read_bucketed
+from tidegate.sinks.tables import (
+    grow_buckets,
+    held_buckets,
+    merge_into,
+    put_batch,
+    read_bucketed,
+    same_content,
+    sync_batches,
+    table_bytes,
+    write_bucketed,
+)
 from tidegate.sinks.targets import FolderTarget
 from tidegate.streaming.loads import dedupe_within, stream_upsert
 from tidegate.workspace import scratch_path
@@ -88,7 +100,64 @@ def replica_append(spark, sf_dir):
     entity = _entity(folder, keys=["event_id"], raw_replica=f"{folder}/raw2")
     for until in ("2024-01-15", None):
         lake.load(spark, entity, _until(events, until), "transactional", f"{folder}/ledger", AS_OF)
-    return spark.read.parquet(entity.raw_replica)
+    return read_bucketed(spark, entity.raw_replica)
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props, true AS replica_equal, 3 AS loads FROM events")
+def replayed_append(spark, sf_dir):
+    """Appended raw history in which runs have died before: what they left, half a batch in raw and in the replica, is
+    replaced when the load is run again from the same watermark."""
+    folder, events = scratch_path(spark, "load"), table(spark, sf_dir, "events")
+    entity = _entity(folder, keys=["event_id"], raw_replica=f"{folder}/raw2")
+    for until, copied in (("2024-01-10", False), ("2024-01-20", True), (None, False)):
+        start = ledger.last_watermark(spark, f"{folder}/ledger", "Event")
+        left = _until(events, until).where((F.col("ts") > F.lit(start)) & (F.col("event_id") % 2 == 0))
+        put_batch(spark, left, entity.raw_path, start)
+        if copied:
+            sync_batches(spark, entity.raw_path, entity.raw_replica)
+        lake.load(spark, entity, _until(events, until), "transactional", f"{folder}/ledger", AS_OF)
+    raw, replica = (read_bucketed(spark, path) for path in (entity.raw_path, entity.raw_replica))
+    loads = ledger.head_of(spark, f"{folder}/ledger", "Event").loads
+    return raw.withColumns({"replica_equal": F.lit(same_content(raw, replica)), "loads": F.lit(loads)})
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props, true AS split FROM events")
+def bucket_growth(spark, sf_dir):
+    """A table that five merges grow to 16 times its size: its buckets are split as it grows."""
+    path, events = scratch_path(spark, "growing"), table(spark, sf_dir, "events")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(16))
+    write_bucketed(events.where(part == 0), path, ["event_id"], 4)
+    size = table_bytes(spark, path) // 4
+    for low, high in ((1, 2), (2, 4), (4, 8), (8, 16)):
+        merge_into(spark, path, events.where((part >= low - 1) & (part < high)), ["event_id"])
+        grow_buckets(spark, path, ["event_id"], 2 * size)
+    return read_bucketed(spark, path).withColumn("split", F.lit(held_buckets(spark, path) >= 16))
+
+
+@query(
+    "SELECT 'Event' AS name, max(ts) AS last_load, 20 AS loads, CAST(1 AS BIGINT) AS files FROM events UNION ALL "
+    "SELECT 'Order', max(o_orderdate), 20, CAST(1 AS BIGINT) FROM orders"
+)
+def ledger_folded(spark, sf_dir):
+    """Twenty loads of two names: what their heads say, and the files of the log after it has been folded."""
+    path = scratch_path(spark, "ledger")
+    latest = {"Event": ("events", "ts"), "Order": ("orders", "o_orderdate")}
+    for name, (source, column) in latest.items():
+        last = ledger.max_watermark(table(spark, sf_dir, source), column)
+        for back in reversed(range(20)):
+            ledger.append(spark, path, name, 1, last - dt.timedelta(hours=back), AS_OF)
+    ledger.fold(spark, path)
+    log = ledger.read(spark, path)
+    files = len(log.inputFiles())
+    heads = [ledger.head_of(spark, path, name) for name in latest]
+    found = ledger.complete_watermarks(log).withColumnRenamed("TABLE_NAME", "name")
+    known = reduce(or_, [(F.col("name") == h.name) & (F.col("LAST_LOAD_TIMESTAMP").cast("timestamp_ntz") == F.lit(h.last)) for h in heads])
+    return found.where(known).select(
+        "name",
+        F.col("LAST_LOAD_TIMESTAMP").cast("timestamp_ntz").alias("last_load"),
+        F.lit(min(h.loads for h in heads)).alias("loads"),
+        F.lit(files).cast("long").alias("files"),
+    )
 
 
 @query(LATEST.format(keys="user_id", events="(SELECT * FROM events WHERE event_type <> 'error')"))
@@ -216,15 +285,20 @@ def load_summary(spark, sf_dir):
     return lake.load_summary(results, spark)
 
 
+STREAM_FILES = 6
+
+
 def _event_stream(spark, sf_dir, folder):
-    """The events as a stream of files: written once in time order, read two at a time."""
+    """The events as a stream of files: written once in time order, at least six of them, read one at a time."""
     events = table(spark, sf_dir, "events")
-    events.repartitionByRange("ts").write.parquet(f"{folder}/input")
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/input")
+    per_file = max(1, -(-events.count() // STREAM_FILES))
+    events.repartitionByRange("ts").sortWithinPartitions("ts").write.option("maxRecordsPerFile", per_file).parquet(f"{folder}/input")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/input")
 
 
-@query(LATEST.format(keys="user_id, event_type", events="events"))
+@query(LATEST.format(keys="user_id, event_type", events="events").replace(" FROM (SELECT", ", true AS in_batches FROM (SELECT", 1))
 def stream_upsert_latest(spark, sf_dir):
+    """Six batches or more, each but the first merged; the ledger has a row for each."""
     folder = scratch_path(spark, "stream")
     changes = _event_stream(spark, sf_dir, folder)
     target = f"{folder}/current"
@@ -232,14 +306,18 @@ def stream_upsert_latest(spark, sf_dir):
         changes, target, f"{folder}/checkpoint", ["user_id", "event_type"], ["ts", "event_id"], ledger_path=f"{folder}/ledger", buckets=16
     )
     run.awaitTermination()
-    return read_bucketed(spark, target)
+    recorded = ledger.read(spark, f"{folder}/ledger").count()
+    return read_bucketed(spark, target).withColumn("in_batches", F.lit(recorded >= STREAM_FILES))
 
 
-@query("SELECT DISTINCT user_id FROM events")
+@query("SELECT DISTINCT user_id, true AS in_batches FROM events")
 def stream_dedupe_within(spark, sf_dir):
+    """Six batches or more; what one has seen the next ones know from the state."""
     folder = scratch_path(spark, "stream")
     changes = _event_stream(spark, sf_dir, folder)
     kept = dedupe_within(changes, ["user_id"], "ts", "60 days").select("user_id")
-    run = kept.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
-    run.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(kept.schema).parquet(f"{folder}/out")
+    writer = kept.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    run = writer.trigger(availableNow=True).start()
+    run.awaitTermination()
+    filled = sum(p.numInputRows > 0 for p in run.recentProgress)
+    return spark.read.schema(kept.schema).parquet(f"{folder}/out").withColumn("in_batches", F.lit(filled >= STREAM_FILES))

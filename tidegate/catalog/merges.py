@@ -151,7 +151,7 @@ def replica_refresh(spark, sf_dir):
 def compacted_table(spark, sf_dir):
     path = scratch_path(spark, "lineitem")
     tables.write_table(table(spark, sf_dir, "lineitem"), path, "overwrite")
-    tables.compact(spark, path, ["l_orderkey"])
+    tables.compact(spark, path, ["l_orderkey"], file_bytes=1 << 20)
     return spark.read.parquet(path)
 
 

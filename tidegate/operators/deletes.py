@@ -12,9 +12,11 @@ from tidegate.functions import KEY_BUCKETS, key_bucket, timestamp_literal
 from tidegate.operators.dedupe import distinct_keys
 from tidegate.operators.filters import not_soft_deleted
 from tidegate.operators.membership import exclude_keys, without_held
-from tidegate.operators.merge import update_columns
 from tidegate.operators.names import not_null
 
+# Buckets that keys are digested in; their numbers go through the driver.
+DIGEST_BUCKETS = 1 << 12
+
 # Column names of the snapshot and event tables.
 SNAPSHOT_TS = "Snapshot_Timestamp"
 DETECTED_TS = "Deleted_Detected_AtTimestamp"
@@ -68,10 +70,57 @@ def missing_keys_full(held: DataFrame, history: DataFrame, source: DataFrame, ke
     return missing_keys(held.select(key).unionByName(history.select(key)), source, key)
 
 
+def differing_buckets(left: DataFrame, right: DataFrame, key: str, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """The buckets of non-NULL keys in which two sides may differ.
+
+    Each side's keys are counted and digested by bucket, whatever their order, and the digests of both are set off
+    against each other in one aggregate: a map task sends one row a bucket, and nothing is joined. A key that one side repeats
+    makes its bucket differ, so equal sets of distinct keys, and only they, have no differing bucket.
+    """
+
+    def digested(df: DataFrame, sign: int) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+        other = F.xxhash64(F.lit(1), key)
+        # 32 bits of the hash can be summed over two billion keys.
+        return df.where(F.col(key).isNotNull()).select(bucket, F.lit(sign).alias("n"), (other.bitwiseAND(F.lit(0xFFFFFFFF)) * sign).alias("s"), other.alias("x"))
+
+    both = digested(left, 1).unionByName(digested(right, -1))
+    sums = both.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.bit_xor("x").alias("x"))
+    return sums.where("n <> 0 OR s <> 0 OR x <> 0").select("bucket")
+
+
+def missing_by_digest(held: DataFrame, source: DataFrame, key: str, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """`missing_keys` that joins only the buckets in which the two sides differ.
+
+    If there are none no join is started. Which buckets differ is found out at once, by a job over both sides; their
+    numbers, ``buckets`` at most, come to the driver. Keys of different types are joined at once.
+    """
+    if held.schema[key].dataType != source.schema[key].dataType:
+        return missing_keys(held, source, key)
+    differ = [row["bucket"] for row in differing_buckets(held, source, key, buckets).collect()]
+    if not differ:
+        return held.select(key).where(F.lit(False))
+    if 2 * len(differ) < buckets:
+        inside = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").isin(differ)
+        held, source = held.where(inside), source.where(inside)
+    return missing_keys(held, source, key)
+
+
 def merge_snapshot(snapshot: DataFrame, source: DataFrame, key: str, as_of: dt.datetime) -> DataFrame:
-    """Key snapshot with the last-seen time of every source key moved to ``as_of``."""
-    seen = source.select(F.col(key), timestamp_literal(as_of).cast(snapshot.schema[SNAPSHOT_TS].dataType).alias(SNAPSHOT_TS))
-    return update_columns(snapshot, seen, [key], [SNAPSHOT_TS])
+    """Key snapshot with the last-seen time of every source key moved to ``as_of``.
+
+    One aggregate over both, so map tasks send one row a key and a key that either side repeats is one row. NULL keys
+    of the snapshot stay, those of the source are ignored.
+    """
+    kind = snapshot.schema[SNAPSHOT_TS].dataType
+    held = snapshot.select(key, SNAPSHOT_TS, F.lit(False).alias("__seen"))
+    now = timestamp_literal(as_of).cast(kind)
+    seen = source.where(F.col(key).isNotNull()).select(F.col(key).cast(snapshot.schema[key].dataType), F.lit(None).cast(kind).alias(SNAPSHOT_TS), F.lit(True).alias("__seen"))
+    nullable = snapshot.schema[key].nullable
+    both = (held.where(F.col(key).isNotNull()) if nullable else held).unionByName(seen)
+    latest = both.groupBy(key).agg(F.max(SNAPSHOT_TS).alias("__held"), F.max("__seen").alias("__seen"))
+    merged = latest.select(key, F.when(F.col("__seen"), now).otherwise(F.col("__held")).alias(SNAPSHOT_TS))
+    return merged.unionByName(snapshot.where(F.col(key).isNull()).select(key, SNAPSHOT_TS)) if nullable else merged
 
 
 def new_events(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -102,23 +103,43 @@ def listed_ids(df: DataFrame, column: str, ids: Sequence[int | str] | DataFrame)
     Ids take the type of ``column``; those that do not fit it can match nothing and go. A text column
     and numeric ids are compared as numbers, so ``'01'`` is 1 and text that is no number matches nothing.
     """
-    kind = df.schema[column].dataType
     if isinstance(ids, DataFrame):
         given = ids.select(F.col(ids.columns[0]).alias(MEMBER))
-        numeric = isinstance(given.schema[MEMBER].dataType, T.NumericType)
+        target, key, _ = _compared_as(df, column, isinstance(given.schema[MEMBER].dataType, T.NumericType))
     else:
-        numeric = not any(isinstance(i, str) for i in ids)
+        target, key, numeric = _compared_as(df, column, not any(isinstance(i, str) for i in ids))
         given = df.sparkSession.createDataFrame([(str(i),) for i in dict.fromkeys(ids)], f"{MEMBER} string")
         if numeric:
             given = given.select(F.col(MEMBER).try_cast("decimal(38,0)").alias(MEMBER))
-    target, key = kind, F.col(column)
-    if numeric and isinstance(kind, T.StringType):
-        target = T.DecimalType(38, 9)
-        key = safe_cast(key, kind, target)
     typed = given.select(F.col(MEMBER).try_cast(target).alias(MEMBER))
     return key, not_null(typed, [MEMBER]).distinct()
 
 
+def listed_values(df: DataFrame, column: str, ids: Sequence[int | str]) -> tuple[Column, list]:
+    """What rows of ``df`` are compared by, and the distinct values of a short list in the same type, by the rules of
+    `listed_ids`.
+
+    They are cast as constants of a plan over one constant row, which Spark evaluates while it plans: no job runs.
+    """
+    target, key, numeric = _compared_as(df, column, not any(isinstance(i, str) for i in ids))
+    texts = F.from_json(F.lit(json.dumps([str(i) for i in ids])), "array<string>")
+
+    def typed(text: Column) -> Column:
+        return (text.try_cast("decimal(38,0)") if numeric else text).try_cast(target)
+
+    row = df.sparkSession.sql("VALUES (1)").select(F.transform(texts, typed).alias(MEMBER)).collect()[0]
+    return key, [value for value in dict.fromkeys(row[MEMBER]) if value is not None]
+
+
+def _compared_as(df: DataFrame, column: str, numeric: bool) -> tuple[T.DataType, Column, bool]:
+    """The type that ids take, the column in that type, and whether the ids are numbers."""
+    kind = df.schema[column].dataType
+    if numeric and isinstance(kind, T.StringType):
+        target = T.DecimalType(38, 9)
+        return target, safe_cast(F.col(column), kind, target), numeric
+    return kind, F.col(column), numeric
+
+
 def filter_by_ids(
     df: DataFrame, column: str, ids: Sequence[int | str] | DataFrame, mode: str = "include"
 ) -> DataFrame:
@@ -133,17 +154,16 @@ def filter_by_ids(
     frame = isinstance(ids, DataFrame)
     if ids.isEmpty() if frame else not len(ids):
         return df.where(F.lit(mode == "exclude"))
-    key, listed = listed_ids(df, column, ids)
     present = F.col(column).isNotNull()
     if not frame and len(ids) <= IN_LIST_LIMIT:
-        # Values of the caller, in the column's type.
-        values = [row[0] for row in listed.collect()]
+        key, values = listed_values(df, column, ids)
         if mode == "include":
             return df.where(key.isin(values)) if values else df.where(F.lit(False))
         if not values:
             return df.where(present)
         plain = not isinstance(df.schema[column].dataType, T.StringType) or isinstance(values[0], str)
         return df.where(~key.isin(values)) if plain else df.where(present & ~F.coalesce(key.isin(values), F.lit(False)))
+    key, listed = listed_ids(df, column, ids)
     rows = df.withColumn(MEMBER, key)
     if mode == "include":
         return include_keys(rows, listed, [MEMBER], unique=True).select(*df.columns)

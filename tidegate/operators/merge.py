@@ -83,18 +83,38 @@ def insert_absent(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
     return base.unionByName(absent_rows(base, align(batch, base.schema), keys))
 
 
-def update_columns(base: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def update_columns(
+    base: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str], unique: bool = False
+) -> DataFrame:
     """Set only ``columns`` on matched rows; insert unmatched updates whole. A non-NULL key that occurs
-    twice on either side is an error."""
+    twice on either side is an error, unless the caller vouches that both are ``unique``.
+
+    Both sides meet in one shuffle, as rows of one key, where their numbers are checked and their values matched.
+    """
     keys = resolve(base, keys)
     columns = resolve(base, columns)
-    ours, theirs = (F.struct(*[F.col(c) for c in base.columns if c not in keys]).alias(side) for side in (HELD, MATCHED))
-    base, updates = checked(base, keys), checked(align(updates, base.schema), keys)
-    joined = spread_join(base.select(*keys, ours), updates.select(*keys, theirs), keys, "full")
+    updates = align(updates, base.schema)
+    values = [c for c in base.columns if c not in keys]
+    ours, theirs = (F.struct(*[F.col(c) for c in values]).alias(side) for side in (HELD, MATCHED))
 
     def value(name: str) -> Column:
         first, second = (MATCHED, HELD) if name in columns else (HELD, MATCHED)
         chosen = F.when(F.col(first).isNotNull(), F.col(f"{first}.{name}")).otherwise(F.col(f"{second}.{name}"))
         return chosen.alias(name)
 
-    return joined.select(*[F.col(c) if c in keys else value(c) for c in base.columns])
+    if unique:
+        met = spread_join(base.select(*keys, ours), updates.select(*keys, theirs), keys, "full")
+        return met.select(*[F.col(c) if c in keys else value(c) for c in base.columns])
+    sides = [
+        not_null(df, keys).withColumn(SPREAD, spread_of(keys)).select(*keys, SPREAD, F.struct(*values or [F.lit(True)]).alias(side))
+        for df, side in ((base, HELD), (updates, MATCHED))
+    ]
+    tagged = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    counts = [F.count(side).alias(f"{side}_n") for side in (HELD, MATCHED)]
+    firsts = [F.first(side, ignorenulls=True).alias(side) for side in (HELD, MATCHED)]
+    met = tagged.groupBy(*keys, SPREAD).agg(*counts, *firsts)
+    message = F.concat(F.lit("duplicate merge key "), F.to_json(F.struct(*keys)))
+    repeated = F.when(F.greatest(*[F.col(f"{side}_n") for side in (HELD, MATCHED)]) > 1, F.raise_error(message).cast("boolean"))
+    met = met.where(F.coalesce(repeated, F.lit(True))).select(*[F.col(c) if c in keys else value(c) for c in base.columns])
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
+    return met.unionByName(base.where(keyless)).unionByName(updates.where(keyless))

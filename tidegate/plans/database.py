@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import with_suffix
 from tidegate.operators.filters import HISTORY_MONTHS, after_watermark, history_window
-from tidegate.operators.membership import IN_LIST_LIMIT, MEMBER, filter_by_ids, listed_ids
+from tidegate.operators.membership import IN_LIST_LIMIT, MEMBER, filter_by_ids, listed_ids, listed_values
 from tidegate.operators.names import exclude_columns, resolve
 from tidegate.plans.specs import DatabaseEntity, LoadResult
 from tidegate.sinks import ledger
@@ -57,11 +57,11 @@ def suffix_governed(
     if not columns or not set(columns) <= set(df.columns) or (not frame and not governed):
         return df
     id_column, code = columns
-    key, listed = listed_ids(df, id_column, governed)
     if not frame and len(governed) <= IN_LIST_LIMIT:
-        values = [row[0] for row in listed.collect()]
+        key, values = listed_values(df, id_column, governed)
         member = F.coalesce(key.isin(values), F.lit(False)) if values else F.lit(False)
         return df.withColumn(code, with_suffix(code, member))
+    key, listed = listed_ids(df, id_column, governed)
     marked = df.withColumn(MEMBER, key).join(listed.withColumn("__governed", F.lit(True)), MEMBER, "left")
     return marked.withColumn(code, with_suffix(code, F.coalesce("__governed", F.lit(False)))).select(*df.columns)
 

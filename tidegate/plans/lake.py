@@ -9,22 +9,28 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.functions import key_bucket
 from tidegate.operators.dedupe import dedupe_latest
 from tidegate.operators.filters import after_watermark, between_bounds
 from tidegate.plans.specs import LakeEntity, LoadResult
 from tidegate.sinks import ledger
 from tidegate.sinks.tables import (
+    BUCKET,
     buckets_for,
+    by_bucket,
+    grow_buckets,
+    held_buckets,
+    keep_buckets,
     merge_into,
     publish,
+    put_batch,
     read_bucketed,
     replace_bucketed,
     replicate,
     restore_table,
+    settled_rows,
     table_bytes,
     transform,
-    write_bucketed,
-    write_table,
 )
 from tidegate.workspace import Staged, exists, release, stage
 
@@ -66,8 +72,11 @@ def load(
     | transactional increment, DAILY  | refused, or both appended with `append_daily`               ||
 
     The deduped extract is written once to the shared folder and read from there; where it replaces
-    the raw table it is written beside it and takes its place. An empty batch writes nothing. The ledger row comes last, so a run that dies is repeated from
-    the same watermark; every sink here but a plain append gives the same tables again.
+    the raw table it is written beside it and takes its place. An empty batch writes nothing. Appended increments
+    are batches in folders that the watermark they start from names. The ledger row comes last, so a run that dies
+    is repeated from the same watermark, puts the same folders in the place of what it left, and every sink here
+    holds the same rows again. A replica gets what it lacks, so it equals its source after each load that ends. Buckets
+    that a table has outgrown are split after the merge.
     """
     spec.check(mode)
     grain, incremental = spec.grain_for(mode), spec.is_incremental(mode)
@@ -77,7 +86,7 @@ def load(
     for path in (spec.raw_path, spec.current_path):
         restore_table(spark, path)
     if incremental:
-        held = spark.read.parquet(spec.raw_path) if exists(spark, spec.raw_path) else None
+        held = settled_rows(spark, spec.raw_path)
         last = ledger.last_watermark(spark, ledger_path, name, held, spec.watermark)
         rows = after_watermark(source, spec.watermark, last, spec.lookback)
 
@@ -91,36 +100,41 @@ def load(
         release(spark, batch.path)
         return LoadResult(spec.name, "skipped_empty")
 
-    # The number of buckets of a table that is written anew follows its bytes; a merge keeps it.
+    # At first the number of buckets follows the batch; a table that turns out larger has them split.
     buckets = spec.buckets or buckets_for(table_bytes(spark, batch.path))
-    raw_touched, raw_added = None, None
+    raw_touched = None
     if whole_raw:
         publish(spark, whole_raw, spec.raw_path)
         batch = Staged(spark.read.schema(batch.df.schema).parquet(spec.raw_path), whole_raw, batch.metrics)
     elif raw_mode == "merge":
         raw_touched = merge_into(spark, spec.raw_path, batch.df, spec.keys, staged=True)
     elif spec.raw_merge:
-        replace_bucketed(spark, batch.df, spec.raw_path, spec.keys, buckets)
+        replace_bucketed(spark, batch.df, spec.raw_path, spec.keys, buckets, spec.bucket_bytes)
     else:
-        write_table(batch.df, spec.raw_path, raw_mode)
-        raw_added = batch.df if raw_mode == "append" else None
+        put_batch(spark, batch.df, spec.raw_path, last)
+    if spec.raw_merge:
+        grow_buckets(spark, spec.raw_path, spec.keys, spec.bucket_bytes)
     if spec.raw_replica:
-        replicate(spark, spec.raw_path, spec.raw_replica, raw_touched, raw_added)
+        replicate(spark, spec.raw_path, spec.raw_replica, raw_touched)
 
     touched = None
     if grain == "DAILY" and incremental:
         current_mode = "append"
-        write_bucketed(batch.df, spec.current_path, spec.keys, buckets, "append")
+        kept = held_buckets(spark, spec.current_path) or buckets
+        placed = by_bucket(batch.df.withColumn(BUCKET, key_bucket(spec.keys, kept)), BUCKET)
+        put_batch(spark, placed, spec.current_path, last, [BUCKET])
+        keep_buckets(spark, spec.current_path, kept)
     elif grain == "DAILY":
         current_mode = "overwrite"
-        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, buckets)
+        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, buckets, spec.bucket_bytes)
     elif not exists(spark, spec.current_path):
         current_mode = "overwrite"
         first = _one_per_key(spec, source) if incremental else batch.df
-        replace_bucketed(spark, first, spec.current_path, spec.keys, buckets)
+        replace_bucketed(spark, first, spec.current_path, spec.keys, buckets, spec.bucket_bytes)
     else:
         current_mode = "merge"
         touched = merge_into(spark, spec.current_path, batch.df, spec.keys, staged=True)
+        grow_buckets(spark, spec.current_path, spec.keys, spec.bucket_bytes)
     if spec.current_replica:
         replicate(spark, spec.current_path, spec.current_replica, touched)
 
@@ -148,9 +162,10 @@ def backfill(
     if exists(spark, spec.current_path):
         current_mode = "merge"
         touched = merge_into(spark, spec.current_path, batch.df, spec.keys, staged=True)
+        grow_buckets(spark, spec.current_path, spec.keys, spec.bucket_bytes)
     else:
         buckets = spec.buckets or buckets_for(table_bytes(spark, batch.path))
-        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, buckets)
+        replace_bucketed(spark, batch.df, spec.current_path, spec.keys, buckets, spec.bucket_bytes)
     if spec.current_replica:
         replicate(spark, spec.current_path, spec.current_replica, touched)
     release(spark, batch.path)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidegate.functions import KEY_BUCKETS
 from tidegate.operators import deletes
 from tidegate.sinks.tables import (
+    FILE_BYTES,
     by_bucket,
     compact,
     create_if_absent,
@@ -83,11 +84,12 @@ def detect(
     replace_table(spark, tables.snapshot, deletes.merge_snapshot(snapshot, keys.df, key, as_of))
 
     held = deletes.held_keys(current, key, tables.soft_flag)
-    missing = (
-        deletes.missing_keys_full(held, history, keys.df, key)
-        if mode == "full"
-        else deletes.missing_keys(held, keys.df, key)
-    )
+    if mode == "full":
+        held = held.select(key).unionByName(history.select(key))
+        missing = deletes.missing_keys(held, keys.df, key)
+    else:
+        # Key by key the current state mostly equals its source; of buckets with equal digests none is joined.
+        missing = deletes.missing_by_digest(held, keys.df, key)
     candidates = stage(missing, "delete-candidates", counted)
     events = _events(spark, tables, event_schema)
     if retract:
@@ -124,10 +126,10 @@ def active_view(spark: SparkSession, name: str, current: DataFrame, tables: Dele
     return rows
 
 
-def optimize(spark: SparkSession, tables: DeleteTables, files: int | None = None) -> None:
+def optimize(spark: SparkSession, tables: DeleteTables, files: int | None = None, file_bytes: int = FILE_BYTES) -> None:
     """Compact the state tables and cluster them by key, into files by their bytes unless told."""
     bucket = deletes.bucket_column(tables.key)
-    compact(spark, tables.snapshot, [tables.key], files)
+    compact(spark, tables.snapshot, [tables.key], files, file_bytes=file_bytes)
     if has_files(spark, tables.events):
         compact(spark, tables.events, [tables.key], files, [bucket])
-    compact(spark, tables.current_events, [tables.key], files)
+    compact(spark, tables.current_events, [tables.key], files, file_bytes=file_bytes)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from tidegate.sinks.tables import BUCKET_BYTES
 
 GRAINS = ("HOURLY", "DAILY")
 MODES = ("daily", "transactional", "historical", "initial")
@@ -38,6 +39,7 @@ class LakeEntity:
     ledger_name: str | None = None
     lookback: dt.timedelta = dt.timedelta(0)
     buckets: int | None = None
+    bucket_bytes: int = BUCKET_BYTES
     write_enabled: bool = True
     append_daily: bool = False
 

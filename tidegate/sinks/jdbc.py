@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegate.sinks.reach import Reach
 from tidegate.sources.jdbc import Database, key_scan
 
 # Write tasks by row count, largest first; rows per insert batch.
@@ -55,8 +56,18 @@ def write(df: DataFrame, db: Database, table: str, mode: str = "append", rows: i
 
 
 def target_keys(
-    spark: SparkSession, db: Database, table: str, keys: Sequence[str], predicates: Sequence[str] = ()
+    spark: SparkSession,
+    db: Database,
+    table: str,
+    keys: Sequence[str],
+    predicates: Sequence[str] = (),
+    within: Reach | None = None,
 ) -> DataFrame:
-    """Distinct keys the target holds, read by one task per predicate if some are given. They must be
-    disjoint and together cover every row, such as ranges or remainders of a key."""
+    """Distinct keys the target holds; with ``within`` only those a batch can meet.
+
+    They are read by one task per predicate. Predicates that are given must be disjoint and together cover every row, such as
+    ranges or remainders of a key; else they follow from the batch.
+    """
+    if not predicates and within is not None:
+        predicates = within.predicates(keys[0])
     return key_scan(spark, db, f"SELECT * FROM {table}", keys, predicates)

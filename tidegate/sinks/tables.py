@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 
@@ -15,7 +17,7 @@ from tidegate.functions import KEY_BUCKETS, key_bucket
 from tidegate.operators.deletes import bucket_column, bucketed_layout
 from tidegate.operators.merge import merge_latest, upsert
 from tidegate.operators.names import align, comparable, comparable_columns
-from tidegate.workspace import exists, hadoop_path, has_files, release, rename, stage
+from tidegate.workspace import exists, folder_names, hadoop_path, has_files, make_folder, release, rename, stage
 
 BUCKET = "__bucket"
 # Bytes that a bucket and a file of a compacted table are to hold.
@@ -24,14 +26,26 @@ LARGEST_BUCKETS = 1 << 16
 # An empty, hidden file whose name keeps a table's number of buckets.
 LAYOUT = "_buckets-"
 FINISHED = "_finished"
+# An empty, hidden file that is new after each swap, and how often a reader lists files anew because of it.
+SWAP, LISTINGS = "_swap-", 3
+# The folder of an appended batch: the watermark that it starts from, and a token of the run that wrote it.
+BATCH = "__batch"
+WHOLE = "b00000000T000000000000-whole"
+# Folders that are renamed at a time.
+RENAMES = 16
+
+
+def holds_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder has files, or folders of a layout."""
+    return has_files(spark, path) or bool(folder_names(spark, f"{path}/__*=*"))
 
 
 def check_columns(spark: SparkSession, path: str, df: DataFrame) -> None:
     """Fail if rows of ``df`` have other columns than the table they are added to: Spark would write
     them and then show either schema, whichever file it looks at first."""
-    if not has_files(spark, path):
+    if not holds_rows(spark, path):
         return
-    held, given = ({c.lower() for c in frame.columns} for frame in (spark.read.parquet(path), df))
+    held, given = ({c.lower() for c in frame.columns} for frame in (spark.read.parquet(path).drop(BATCH), df))
     if held != given:
         raise ValueError(f"{path} and the rows to add differ in columns {sorted(held ^ given)}")
 
@@ -119,18 +133,172 @@ def write_bucketed(
     return metrics
 
 
-def replace_bucketed(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS) -> dict:
+def replace_bucketed(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    buckets: int = KEY_BUCKETS,
+    bucket_bytes: int = BUCKET_BYTES,
+) -> dict:
     """Write a whole bucketed table beside its place and swap it in, so that a run that dies leaves
-    either the old table or none, never a part."""
+    either the old table or none, never a part.
+
+    What is written decides the number of buckets: if it is more than the ``buckets`` given hold, they are split
+    before the swap.
+    """
     new = f"{path}__new"
-    release(spark, new)
+    release(spark, new, f"{path}__split")
     metrics = write_bucketed(df, new, keys, buckets)
+    factor = _growth(spark, new, buckets, bucket_bytes)
+    if factor > 1:
+        _write_split(spark, new, f"{path}__split", keys, buckets * factor)
+        release(spark, new)
+        rename(spark, f"{path}__split", new)
     publish(spark, new, path)
     return metrics
 
 
+def _growth(spark: SparkSession, path: str, buckets: int, bucket_bytes: int) -> int:
+    """The power of two by which a table's buckets are too few."""
+    size, factor = table_bytes(spark, path), 1
+    while buckets * factor * bucket_bytes < size and buckets * factor < LARGEST_BUCKETS:
+        factor *= 2
+    return factor
+
+
+def _write_split(spark: SparkSession, path: str, target: str, keys: Sequence[str], buckets: int) -> None:
+    """Write the rows of a bucketed table into a multiple of its buckets.
+
+    The rows of a bucket go to few others, its number plus multiples of the old count, so each task writes its own and nothing
+    is shuffled.
+    """
+    rows = spark.read.parquet(path).withColumn(BUCKET, key_bucket(keys, buckets))
+    write_table(rows, target, "overwrite", partition_by=[BUCKET])
+    keep_buckets(spark, target, buckets)
+
+
+def grow_buckets(spark: SparkSession, path: str, keys: Sequence[str], bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Split the buckets of a table that has outgrown them, until each holds about ``bucket_bytes``; returns their number.
+
+    Bucket b of n becomes b and b + n, by the next bit of the key's hash. The table is written anew only when its size has
+    doubled, so growing costs a constant number of writes a row; merges in between rewrite what they touch. The new number
+    is kept with the table and swapped in with it.
+    """
+    restore_table(spark, path)
+    held = held_buckets(spark, path)
+    if held is None:
+        raise ValueError(f"{path} keeps no number of buckets")
+    factor = _growth(spark, path, held, bucket_bytes)
+    if factor == 1:
+        return held
+    new = f"{path}__new"
+    release(spark, new)
+    _write_split(spark, path, new, keys, held * factor)
+    publish(spark, new, path)
+    return held * factor
+
+
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+    """The rows of a bucketed or batched table, without the columns of its layout.
+
+    They are those before a merge or those after it: while finished buckets are being swapped in, or if the run that did so
+    has died, reading is an error, and if a swap began and ended while the files were listed, they are listed again.
+    `restore_table`, which every load calls first, finishes the swap of a dead run.
+    """
+    for _ in range(LISTINGS):
+        before = _swaps(spark, path)
+        if not exists(spark, f"{path}__merge/{FINISHED}"):
+            rows = spark.read.parquet(path).drop(BUCKET, BATCH)
+            if not exists(spark, f"{path}__merge/{FINISHED}") and _swaps(spark, path) == before:
+                return rows
+    raise RuntimeError(f"buckets of {path} are being swapped in; read it again, or call restore_table if the run has died")
+
+
+def _swaps(spark: SparkSession, path: str) -> list[str]:
+    """Hidden files, of which each swap of buckets leaves another."""
+    return folder_names(spark, f"{path}/{SWAP}*")
+
+
+def batches(spark: SparkSession, path: str) -> list[str]:
+    """The batch folders of a table, in order."""
+    return folder_names(spark, f"{path}/{BATCH}=*")
+
+
+def put_batch(spark: SparkSession, df: DataFrame, path: str, start: dt.datetime, partition_by: Sequence[str] = ()) -> str:
+    """Append a batch in a folder that is named by the watermark it starts from; returns the folder's name.
+
+    A batch that starts from the same watermark, as a replay after a crash does, takes the place of the one before. The
+    folder is written beside the table and renamed into it, so readers see all of it or nothing. Its name holds a token of
+    the run, by which `replicate` tells it from the one it replaced. Rows that a table holds outside any batch become one.
+    """
+    restore_table(spark, path)
+    held = batches(spark, path)
+    if not held and holds_rows(spark, path):
+        _adopt(spark, path)
+    check_columns(spark, path, df)
+    address = f"{BATCH}=b{start:%Y%m%dT%H%M%S%f}-"
+    name, beside = f"{address}{uuid.uuid4().hex[:12]}", f"{path}__batch"
+    release(spark, beside)
+    write_table(df, f"{beside}/{name}", "overwrite", partition_by=partition_by)
+    release(spark, *[f"{path}/{old}" for old in held if old.startswith(address)])
+    make_folder(spark, path)
+    rename(spark, f"{beside}/{name}", f"{path}/{name}")
+    release(spark, beside)
+    return name
+
+
+def _adopt(spark: SparkSession, path: str) -> None:
+    """Make the rows of a table without batches its first batch, by two renames of folders."""
+    buckets = held_buckets(spark, path)
+    rename(spark, path, f"{path}__adopt")
+    _finish_adoption(spark, path)
+    if buckets is not None:
+        keep_buckets(spark, path, buckets)
+
+
+def _finish_adoption(spark: SparkSession, path: str) -> None:
+    if exists(spark, f"{path}__adopt"):
+        make_folder(spark, path)
+        rename(spark, f"{path}__adopt", f"{path}/{BATCH}={WHOLE}")
+
+
+def settled_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """What a batched table holds for certain where no ledger says which loads have ended: all but the last batch, which
+    a run that died may have left. All rows of a table without batches; None if there are no such rows."""
+    held = batches(spark, path)
+    if not held:
+        return spark.read.parquet(path) if holds_rows(spark, path) else None
+    sure = [name for name in held if name != held[-1] or name.endswith(WHOLE)]
+    if not sure:
+        return None
+    return spark.read.option("basePath", path).parquet(*[f"{path}/{name}" for name in sure])
+
+
+def sync_batches(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Make a copy hold the batches of its source: copy those it lacks, drop those the source no longer has.
+
+    Batches are compared by folder name, which is new for each run that wrote one, so a copy that fell behind in any way
+    catches up, and one that did not costs a listing. Returns the copied names.
+    """
+    restore_table(spark, target)
+    held, wanted = batches(spark, target), batches(spark, source)
+    if not held and holds_rows(spark, target):
+        release(spark, target)
+    make_folder(spark, target)
+    release(spark, *[f"{target}/{name}" for name in held if name not in wanted])
+    missing = [name for name in wanted if name not in held]
+    beside = f"{target}__batch"
+    for name in missing:
+        release(spark, beside)
+        rows = spark.read.parquet(f"{source}/{name}")
+        write_table(rows, f"{beside}/{name}", "overwrite", partition_by=[BUCKET] if BUCKET in rows.columns else [])
+        rename(spark, f"{beside}/{name}", f"{target}/{name}")
+    release(spark, beside)
+    buckets = held_buckets(spark, source)
+    if buckets is not None:
+        keep_buckets(spark, target, buckets)
+    return missing
 
 
 def _key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
@@ -179,16 +347,26 @@ def put_buckets(spark: SparkSession, rows: DataFrame, path: str) -> None:
 
 
 def _swap_buckets(spark: SparkSession, path: str) -> None:
-    """Move finished buckets into a table; run again after a crash it goes on where it stopped."""
+    """Move finished buckets into a table, several at a time; run again after a crash it goes on where it stopped."""
     beside, old = f"{path}__merge", f"{path}__merged"
-    fs, pattern = hadoop_path(spark, f"{beside}/{BUCKET}=*")
-    fs.mkdirs(hadoop_path(spark, old)[1])
-    for status in fs.globStatus(pattern) or []:
-        bucket = status.getPath().getName()
-        if exists(spark, f"{path}/{bucket}"):
+    make_folder(spark, old)
+    before = _swaps(spark, path)
+    _touch(spark, f"{path}/{SWAP}{uuid.uuid4().hex}")
+
+    def swap(bucket: str) -> None:
+        if exists(spark, f"{path}/{bucket}") and not exists(spark, f"{old}/{bucket}"):
             rename(spark, f"{path}/{bucket}", f"{old}/{bucket}")
         rename(spark, f"{beside}/{bucket}", f"{path}/{bucket}")
-    release(spark, beside, old)
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(swap, folder_names(spark, f"{beside}/{BUCKET}=*")))
+    release(spark, beside, old, *[f"{path}/{name}" for name in before])
+
+
+def finish_merge(spark: SparkSession, path: str) -> None:
+    """Swap in what a merge has finished and not swapped in yet."""
+    if exists(spark, f"{path}__merge/{FINISHED}"):
+        _swap_buckets(spark, path)
 
 
 def merge_into(
@@ -279,37 +457,49 @@ def publish(spark: SparkSession, new: str, path: str) -> None:
 
 
 def restore_table(spark: SparkSession, path: str) -> None:
-    """Undo a swap of tables that stopped half-way, and finish one of buckets."""
+    """Undo a swap of tables that stopped half-way, and finish one of buckets or of a first batch."""
+    _finish_adoption(spark, path)
     if not exists(spark, path) and exists(spark, f"{path}__old"):
         rename(spark, f"{path}__old", path)
     elif exists(spark, f"{path}__old"):
         release(spark, f"{path}__old")
-    if exists(spark, f"{path}__merge/{FINISHED}"):
-        _swap_buckets(spark, path)
-    elif exists(spark, f"{path}__merge"):
+    finish_merge(spark, path)
+    if exists(spark, f"{path}__merge"):
         release(spark, f"{path}__merge")
 
 
 def replicate(
     spark: SparkSession, source: str, target: str, buckets: Sequence[int] | None = None, added: DataFrame | None = None
 ) -> None:
-    """Copy a table to a second location: whole, only the key buckets a merge has touched, or only
-    the rows that an append has ``added``."""
+    """Copy a table to a second location: whole, only the key buckets a merge has touched, only the rows that an append
+    has ``added``, or, of a table of batches, those that the copy lacks.
+
+    A copy that is missing, or has another number of buckets than its source, is written whole.
+    """
     restore_table(spark, target)
+    if batches(spark, source):
+        sync_batches(spark, source, target)
+        return
     if added is not None and exists(spark, target):
         write_table(added, target, "append")
         return
     rows = spark.read.parquet(source)
     if BUCKET not in rows.columns:
         replace_table(spark, target, rows)
-    elif buckets is not None and exists(spark, target):
+    elif buckets is not None and exists(spark, target) and held_buckets(spark, source) == held_buckets(spark, target):
         if buckets:
             put_buckets(spark, rows.where(F.col(BUCKET).isin(list(buckets))), target)
     else:
-        replace_table(spark, target, by_bucket(rows, BUCKET), [BUCKET])
-        held = held_buckets(spark, source)
-        if held is not None:
-            keep_buckets(spark, target, held)
+        _copy_buckets(spark, source, target)
+
+
+def _copy_buckets(spark: SparkSession, source: str, target: str) -> None:
+    """A whole copy of a bucketed table; its files are bucketed already, so nothing is shuffled."""
+    held, new = held_buckets(spark, source), f"{target}__new"
+    write_table(spark.read.parquet(source), new, "overwrite", partition_by=[BUCKET])
+    if held is not None:
+        keep_buckets(spark, new, held)
+    publish(spark, new, target)
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -340,9 +530,14 @@ def cluster_by_key(df: DataFrame, keys: Sequence[str], files: int) -> DataFrame:
 
 
 def compact(
-    spark: SparkSession, path: str, keys: Sequence[str], files: int | None = None, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    files: int | None = None,
+    partition_by: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
 ) -> None:
-    """Rewrite a table into few files clustered by key; as many as its bytes ask for if not told.
+    """Rewrite a table into few files clustered by key; as many of ``file_bytes`` as its bytes ask for if not told.
 
     A bucketed table keeps its buckets.
     """
@@ -353,7 +548,7 @@ def compact(
     if partition_by:
         clustered = rows.hint("rebalance", *[F.col(c) for c in partition_by]).sortWithinPartitions(*partition_by, *keys)
     else:
-        clustered = cluster_by_key(rows, keys, files or max(1, -(-table_bytes(spark, path) // FILE_BYTES)))
+        clustered = cluster_by_key(rows, keys, files or max(1, -(-table_bytes(spark, path) // file_bytes)))
     replace_table(spark, path, clustered, partition_by)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidegate.operators.merge import absent_rows
 from tidegate.operators.names import resolve
 from tidegate.sinks import jdbc
+from tidegate.sinks.reach import Reach, reach_of
 from tidegate.sinks.tables import write_table
 from tidegate.sources.jdbc import Database
 from tidegate.workspace import has_files, release, scratch_path, stage
@@ -20,8 +21,8 @@ CHUNK = "__chunk"
 
 
 class Target(Protocol):
-    def held_keys(self, spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame | None:
-        """Keys the table holds, or None if there is no table yet."""
+    def held_keys(self, spark: SparkSession, table: str, keys: Sequence[str], within: Reach | None = None) -> DataFrame | None:
+        """Keys the table holds, of those ``within`` reach of a batch if it is given; None if there is no table yet."""
 
     def write(self, df: DataFrame, table: str, mode: str, rows: int | None, options: dict) -> None:
         """``append``, or ``truncate_insert`` to replace the rows."""
@@ -29,14 +30,14 @@ class Target(Protocol):
 
 @dataclass(frozen=True)
 class JdbcTarget:
-    """Tables of a database. With ``key_predicates``, disjoint ones that cover every row, existing keys are
-    read by one task each; without, through one connection."""
+    """Tables of a database. Existing keys are read by one task for each predicate: the ``key_predicates``, disjoint ones
+    that cover every row, or those that follow from the batch."""
 
     db: Database
     key_predicates: Sequence[str] = ()
 
-    def held_keys(self, spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame | None:
-        return jdbc.target_keys(spark, self.db, table, keys, self.key_predicates)
+    def held_keys(self, spark: SparkSession, table: str, keys: Sequence[str], within: Reach | None = None) -> DataFrame | None:
+        return jdbc.target_keys(spark, self.db, table, keys, self.key_predicates, within)
 
     def write(self, df: DataFrame, table: str, mode: str, rows: int | None, options: dict) -> None:
         jdbc.write(df, self.db, table, mode, rows, options)
@@ -51,9 +52,13 @@ class FolderTarget:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def held_keys(self, spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame | None:
+    def held_keys(self, spark: SparkSession, table: str, keys: Sequence[str], within: Reach | None = None) -> DataFrame | None:
         path = self.path(table)
-        return spark.read.parquet(path).select(*keys) if has_files(spark, path) else None
+        if not has_files(spark, path):
+            return None
+        held = spark.read.parquet(path).select(*keys)
+        reached = within.condition(F.col(held.columns[0])) if within is not None else None
+        return held if reached is None else held.where(reached)
 
     def write(self, df: DataFrame, table: str, mode: str, rows: int | None, options: dict) -> None:
         write_table(df, self.path(table), "append" if mode == "append" else "overwrite")
@@ -106,12 +111,12 @@ def append_absent(
 ) -> int:
     """Append the rows, one per key, whose key the target does not hold; returns how many.
 
-    The new rows are written to the shared folder before the first insert, so the insert does not
+    Of the target only keys in reach of the batch are read. The new rows are written to the shared folder before the first insert, so the insert does not
     read the table it changes, and its size is known.
     """
     spark = df.sparkSession
     keys = resolve(df, keys)
-    held = target.held_keys(spark, table, keys)
+    held = target.held_keys(spark, table, keys, reach_of(df, keys[0]))
     if held is None:
         held = df.select(*keys).where(F.lit(False))
     typed = [F.col(c).cast(df.schema[k].dataType).alias(k) for c, k in zip(resolve(held, keys), keys, strict=True)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import decimal
 import math
 from collections.abc import Mapping, Sequence
@@ -92,6 +93,46 @@ def predicate_scan(spark: SparkSession, db: Database, query: str, predicates: Se
     return spark.read.jdbc(url, _source(query), predicates=list(predicates), properties=options)
 
 
+def literal(value: object) -> str:
+    """A number, date or time as every JDBC driver reads it."""
+    if isinstance(value, dt.datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, dt.date):
+        return f"{{d '{value:%Y-%m-%d}'}}"
+    return format(value, "f") if isinstance(value, decimal.Decimal) else repr(value)
+
+
+def range_predicates(column: str, bounds: Sequence[object]) -> list[str]:
+    """Disjoint predicates that cover every row: below the first bound with the NULLs, between bounds, from the last on."""
+    marks = [literal(b) for b in dict.fromkeys(bounds)]
+    if not marks:
+        return [f"({column} IS NULL OR {column} IS NOT NULL)"]
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(marks, marks[1:], strict=False)]
+    return [f"({column} IS NULL OR {column} < {marks[0]})", *inner, f"{column} >= {marks[-1]}"]
+
+
+def quantiles(df: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list[object]:
+    """The values that cut a number, date or time column into ``parts`` of about as many rows."""
+    if parts < 2:
+        return []
+    shares = [k / parts for k in range(1, parts)]
+    found = df.agg(F.percentile_approx(F.col(column), shares, accuracy).alias("q")).first()["q"]
+    return list(dict.fromkeys(found or []))
+
+
+def balanced_scan(spark: SparkSession, db: Database, query: str, column: str, partitions: int, probe_tasks: int | None = None) -> DataFrame:
+    """The rows of a query read by about ``partitions`` tasks that have about as many rows each, however the values of a
+    number, date or time column are spread.
+
+    The bounds are quantiles of the column, which alone is read for them, over equal ranges by ``probe_tasks``. They only place the
+    ranges: rows with a NULL, and rows added since, are read too. A value that more rows share than a task is to have gets
+    a task of its own, which no range can split.
+    """
+    narrow = f"SELECT {column} AS C FROM {_source(query)} WHERE {column} IS NOT NULL"
+    probe = partitioned_scan(spark, db, narrow, "C", probe_tasks or partitions)
+    return predicate_scan(spark, db, query, range_predicates(column, quantiles(probe, probe.columns[0], partitions)))
+
+
 def key_scan(spark: SparkSession, db: Database, query: str, keys: Sequence[str], predicates: Sequence[str] = ()) -> DataFrame:
     """Distinct non-NULL keys of a source query; the database makes them distinct first."""
     columns = ", ".join(keys)

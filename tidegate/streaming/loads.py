@@ -43,10 +43,9 @@ def upsert_batch(
             else:
                 replace_bucketed(spark, latest.df, target, keys, buckets)
             if ledger_path:
+                metrics = latest.metrics
                 entry = f"{name}#{batch_id}"
-                done = ledger.read(spark, ledger_path).where(F.col("TABLE_NAME") == entry)
-                if done.isEmpty():
-                    ledger.append(spark, ledger_path, entry, latest.metrics["rows"], latest.metrics["watermark"], now())
+                ledger.append(spark, ledger_path, entry, metrics["rows"], metrics["watermark"], now(), stream=name, batch=batch_id)
         release(spark, latest.path)
 
     return apply

@@ -113,3 +113,42 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = hadoop_path(spark, source)
     if not fs.rename(source_path, hadoop_path(spark, target)[1]):
         raise OSError(f"could not rename {source} to {target}")
+
+
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files or folders that fit a glob pattern, sorted."""
+    fs, target = hadoop_path(spark, pattern)
+    return sorted(status.getPath().getName() for status in fs.globStatus(target) or [])
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = hadoop_path(spark, path)
+    fs.mkdirs(target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file; None if there is none."""
+    fs, target = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file so that readers see the old one or the new one, whole."""
+    beside = f"{path}.{uuid.uuid4().hex}"
+    fs, new = hadoop_path(spark, beside)
+    stream = fs.create(new, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    _, target = hadoop_path(spark, path)
+    context = hadoop.FileContext.getFileContext(fs.makeQualified(target).toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(new), fs.makeQualified(target), options)
