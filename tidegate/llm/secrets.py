@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.operators.membership import spread_join
@@ -46,38 +46,54 @@ MORE = (
     Kind("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     Kind("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Kind("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\x20\n\r]*-----END [A-Z ]*PRIVATE KEY-----"),
+    Kind("google", r"AIza[A-Za-z0-9_-]{35}"),
+    Kind("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
+    Kind("sendgrid", r"SG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}"),
+    Kind("gitlab", r"glpat-[A-Za-z0-9_-]{20,}"),
+    Kind("npm", r"npm_[A-Za-z0-9]{36}"),
 )
 KINDS = BASE + MORE
 
 
-def spans(text: Column, kind: Kind, rank: int) -> Column:
-    """Array of (start, rank, end, value) of the matches of one kind, leftmost and not overlapping.
+MATCHES = "array<struct<rank: int, i: int, gap: int, size: int, value: string>>"
 
-    The pieces between the matches give the offsets. Lengths are code points.
-    """
+
+def matches(text: Column, kind: Kind, rank: int) -> Column:
+    """Array of the matches of one kind, leftmost and not overlapping: the number of each, the code points between it and
+    the one before, its own, and the digest of its value; none if the value is too short."""
     found = F.arrays_zip(
         F.split(text, kind.pattern, -1).alias("piece"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("match")
     )
-    nothing = F.expr("CAST(array() AS array<struct<start: int, rank: int, end: int, value: string>>)")
 
-    def step(seen: Column, item: Column) -> Column:
+    def one(item: Column, number: Column) -> Column:
         match = item.getField("match")
-        start = seen.getField("at") + F.length(item.getField("piece"))
-        end = start + F.length(match)
         value = F.regexp_extract(match, kind.pattern, kind.group) if kind.group else match
-        one = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), value.alias("value"))
-        kept = F.when(F.length(value) >= kind.least, F.array_append(seen.getField("spans"), one)).otherwise(seen.getField("spans"))
-        return F.when(match.isNull(), seen).otherwise(F.struct(end.alias("at"), kept.alias("spans")))
+        digest = F.when(F.length(value) >= kind.least, F.sha2(value.cast("binary"), 256))
+        gap, size = F.length(item.getField("piece")), F.length(match)
+        return F.struct(F.lit(rank).alias("rank"), number.alias("i"), gap.alias("gap"), size.alias("size"), digest.alias("value"))
 
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
-    return F.aggregate(found, start, step, lambda seen: seen.getField("spans"))
+    return F.transform(F.filter(found, lambda item: item.getField("match").isNotNull()), one)
 
 
 def candidates(text: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:
-    """Array of the spans of all kinds, by start, then kind. Texts without any match take the short way."""
-    nothing = F.expr("CAST(array() AS array<struct<start: int, rank: int, end: int, value: string>>)")
-    each = [F.when(text.rlike(kind.pattern), spans(text, kind, rank)).otherwise(nothing) for rank, kind in enumerate(kinds)]
-    return F.when(text.rlike("|".join(f"(?:{k.pattern})" for k in kinds)), F.array_sort(F.concat(*each))).otherwise(nothing)
+    """Array of the matches of all kinds. Texts without any take the short way."""
+    nothing = F.array().cast(MATCHES)
+    each = [F.when(text.rlike(kind.pattern), matches(text, kind, rank)).otherwise(nothing) for rank, kind in enumerate(kinds)]
+    return F.when(text.rlike("|".join(f"(?:{k.pattern})" for k in kinds)), F.concat(*each)).otherwise(nothing)
+
+
+def places_of(found: DataFrame) -> DataFrame:
+    """start, rank, end and value of each candidate of the ``__found`` of a ``__row``.
+
+    Matches follow each other, so where one ends is a running sum over those before it: a sort of the matches of a text and
+    kind, whose time grows with their number and which spills where they are many.
+    """
+    each = found.select("__row", "__owner", "__repository", F.explode("__found").alias("m")).select("__row", "__owner", "__repository", "m.*")
+    so_far = Window.partitionBy("__row", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.col("size")).over(so_far).cast("int")
+    placed = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    return placed.where(F.col("value").isNotNull()).select("__row", "__owner", "__repository", "start", "rank", "end", "value")
 
 
 def joined(found: Column, kinds: tuple[Kind, ...]) -> Column:
@@ -114,12 +130,10 @@ def scan(
         F.coalesce(F.concat(F.lit("="), F.col(repository).cast("string")), F.lit("")).alias("__repository"),
         F.coalesce(F.col(text), F.lit("")).alias("__text"),
     )
-    hashed = lambda s: s.withField("value", F.sha2(s.getField("value").cast("binary"), 256))
-    found = given.withColumn("__found", F.transform(candidates(F.col("__text")), hashed)).drop("__text")
+    found = given.withColumn("__found", candidates(F.col("__text"))).drop("__text")
     # Written once: the row numbers stay as they are and texts are read only here.
     found = stage(found.withColumn("__row", F.monotonically_increasing_id()), "secrets").df
-    places = found.select("__row", "__owner", "__repository", F.explode("__found").alias("s"))
-    places = places.select("__row", "__owner", "__repository", "s.start", "s.rank", "s.end", "s.value")
+    places = places_of(found)
     held = places.groupBy("value", "__owner", "__repository").agg(F.lit(1).alias("__n"))
     by_owner = held.groupBy("value", "__owner").agg(F.count("__n").alias("__repositories"))
     owners = by_owner.groupBy("value").agg(
