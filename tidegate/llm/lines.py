@@ -24,8 +24,10 @@ MIN_WORDS = 50
 
 
 def identity(key: str, text: str) -> Column:
-    """Sixteen bytes that stand for a key and its text."""
-    return F.unhex(F.md5(F.concat_ws("\n", F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(text)).cast("binary")))
+    """Sixteen bytes that stand for a key and its text. The key's length parts the two, and marks a NULL."""
+    name = F.col(key).cast("string")
+    length = F.coalesce(F.octet_length(name).cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat_ws(":", length, F.coalesce(name, F.lit("")), F.col(text)).cast("binary")))
 
 
 def sequences(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -39,7 +41,8 @@ def sequences(df: DataFrame, key: str, text: str) -> DataFrame:
         "key",
         "o",
         F.xxhash64("line").alias("h"),
-        F.xxhash64("line", F.lit(1)).alias("g"),
+        # The seed first: were it last, this hash would follow from the other, and lines that share one would share both.
+        F.xxhash64(F.lit(1), "line").alias("g"),
         F.regexp_count("line", F.lit(WORD)).alias("w"),
     )
     return lines.where("w > 0")
@@ -148,27 +151,27 @@ def later_copies(df: DataFrame, key: str, text: str, min_words: int) -> DataFram
         depth *= 2
     if cuts is None:
         cuts = wanted.df.select("row", "first", "last")
-    return cuts.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("cuts"))
+    return merged(cuts)
+
+
+def merged(cuts: DataFrame) -> DataFrame:
+    """``row`` and its ``cuts``, sorted, those that overlap or touch made one."""
+    in_order = Window.partitionBy("row").orderBy("first", "last")
+    before = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("first") > before, F.lit(True)).cast("int")
+    numbered = cuts.withColumn("__new", apart).withColumn("__run", F.sum("__new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy("row", "__run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return runs.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("cuts"))
 
 
 def kept_lines(lines: Column, cuts: Column) -> Column:
-    """The lines outside the sorted ``cuts``."""
-    nothing = F.expr("CAST(array() AS array<struct<first: int, last: int>>)")
-    whole = F.struct(F.lit(0).alias("at"), nothing.alias("gaps"))
-
-    def step(seen: Column, cut: Column) -> Column:
-        gap = F.struct(seen.getField("at").alias("first"), cut.getField("first").alias("last"))
-        gaps = F.when(cut.getField("first") > seen.getField("at"), F.array_append(seen.getField("gaps"), gap))
-        gaps = gaps.otherwise(seen.getField("gaps"))
-        end = F.least(cut.getField("last"), F.size(lines))
-        return F.struct(F.greatest(seen.getField("at"), end).alias("at"), gaps.alias("gaps"))
-
-    def close(seen: Column) -> Column:
-        rest = F.struct(seen.getField("at").alias("first"), F.size(lines).alias("last"))
-        return F.array_append(seen.getField("gaps"), rest)
-
-    gaps = F.aggregate(cuts, whole, step, close)
-    parts = F.transform(gaps, lambda g: F.slice(lines, g.getField("first") + 1, g.getField("last") - g.getField("first")))
+    """The lines outside the sorted ``cuts``, of which no two overlap: those between each cut and the one before, and the rest."""
+    ends = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda c: F.least(c.getField("last"), F.size(lines))))
+    begins = F.concat(F.transform(cuts, lambda c: c.getField("first")), F.array(F.size(lines)))
+    gaps = F.arrays_zip(ends.alias("first"), begins.alias("last"))
+    parts = F.transform(
+        gaps, lambda g: F.slice(lines, g.getField("first") + 1, F.greatest(F.lit(0), g.getField("last") - g.getField("first")))
+    )
     return F.flatten(parts)
 
 
