@@ -1,5 +1,6 @@
 """Edge cases of the text operators: NULLs, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import hashlib
 import math
 import random
 import re
@@ -10,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from sentencepiece import SentencePieceNormalizer, sentencepiece_model_pb2
+from sentencepiece import SentencePieceNormalizer, SentencePieceProcessor, sentencepiece_model_pb2
 
 from tidegate.llm import components, licenses, lines, merkle, minhash, mixing, neighbours, pii, secrets, sentencepiece, toxicity
 
@@ -135,6 +136,33 @@ def test_ownership_parts_examples_from_live_secrets(docs):
     assert {r["spans"] for r in secrets.scan(copied).collect()} == {""}
 
 
+def test_many_secrets_in_one_text(docs):
+    """The time of a text grows with its matches, not with their square."""
+    text = "\n".join(f"row {i} é token={i:010d}x" for i in range(200_000))
+    (row,) = secrets.scan(docs((1, text, "s"))).collect()
+    assert (row["n_assign"], row["n_live"], row["n_access"]) == (200_000, 200_000, 0)
+    spans = row["spans"].split(",")
+    place = lambda i: len("".join(f"row {k} é token={k:010d}x\n" for k in range(i)))
+    begin = place(1000) + len("row 1000 é ")
+    assert spans[1000] == f"assign:{begin}:{begin + 17}"
+
+
+@pytest.mark.parametrize(
+    ("kind", "value"),
+    [
+        ("private_key", "-----BEGIN RSA PRIVATE KEY-----\nMIIab+/=\n-----END RSA PRIVATE KEY-----"),
+        ("google", "AIza" + "Ab1_-" * 7),
+        ("stripe", "sk_" + "live_" + "a1B2" * 5),
+        ("sendgrid", "SG." + "a1B2_" * 4 + "." + "c3D4-" * 4),
+        ("gitlab", "glpat" + "-" + "x_1y" * 5),
+        ("npm", "npm_" + "aB3" * 12),
+    ],
+)
+def test_formats_of_credentials(docs, kind, value):
+    (row,) = secrets.scan(docs((1, f"é my {value} end", "s"))).collect()
+    assert f"{kind}:5:{5 + len(value)}" in row["spans"].split(",")
+
+
 # SentencePiece
 
 
@@ -148,6 +176,39 @@ def test_spans_cover_the_original_bytes(docs):
     assert rows_of(back, "doc_id", "text") == [(1, text), (2, "")]
 
 
+def mapped_model(rule, trim):
+    """The public model with a compiled character map in place of its own."""
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(MODEL, "rb") as file:
+        proto.ParseFromString(file.read())
+    other = SentencePieceNormalizer(rule_name=rule, remove_extra_whitespaces=trim, add_dummy_prefix=True, escape_whitespaces=True)
+    spec = sentencepiece_model_pb2.ModelProto()
+    spec.ParseFromString(other.serialized_model_proto())
+    proto.normalizer_spec.CopyFrom(spec.normalizer_spec)
+    return proto.SerializeToString()
+
+
+@pytest.mark.parametrize(("rule", "trim"), [("identity", False), ("nfkc", True), ("nmt_nfkc_cf", False), ("nmt_nfkc_cf", True)])
+def test_digests_project_every_piece(docs, tmp_path, rule, trim):
+    model = mapped_model(rule, trim)
+    path = tmp_path / "mapped.model"
+    path.write_bytes(model)
+    processor = SentencePieceProcessor(model_proto=model)
+    draw = random.Random(2)
+    texts = ["".join(draw.choice("aÅﬁ① \n梦　カ́e゙BC…x") for _ in range(draw.randint(0, 30))) for _ in range(200)]
+    found = {r["doc_id"]: r for r in sentencepiece.digests(docs(*enumerate(texts)), str(path)).collect()}
+    for at, text in enumerate(texts):
+        pieces = processor.encode(text, return_type="proto").pieces
+        spans = np.array([(p.id, p.begin, p.end) for p in pieces], "<i8").reshape(-1, 3)
+        assert found[at]["n_tokens"] == len(spans)
+        assert found[at]["ids_sha256"] == hashlib.sha256(",".join(str(p.id) for p in pieces).encode()).hexdigest()
+        assert found[at]["n_bytes"] == int((spans[:, 2] - spans[:, 1]).sum())
+        ends = sentencepiece.load(model).round_trip(text)[2]
+        assert ends[:, 0].tolist() == spans[:, 0].tolist()
+        if not trim:
+            assert ends.tolist() == spans.tolist()
+
+
 @pytest.mark.parametrize("rule", ["nfkc", "nmt_nfkc_cf"])
 @pytest.mark.parametrize("trim", [True, False])
 def test_normaliser_equals_the_library(rule, trim):
@@ -178,6 +239,31 @@ def test_runs_go_but_their_first_place(docs):
     assert found[4] == ("", 3)
 
 
+def test_the_two_ids_of_a_line_are_independent(spark):
+    """Of lines that share 16 bits of one id about one in 65,536 shares those of the other."""
+    lines_in = spark.range(200_000).selectExpr("CAST(id AS STRING) AS doc_id", "concat('line ', id) AS text")
+    ids = lines.sequences(lines_in, "doc_id", "text").selectExpr("h & 65535 AS h", "g & 65535 AS g")
+    both = ids.groupBy("h", "g").count().selectExpr("sum(count * (count - 1) / 2) AS n").first()["n"]
+    assert both < 50
+    one = ids.groupBy("h").count().selectExpr("sum(count * (count - 1) / 2) AS n").first()["n"]
+    assert one > 200_000
+
+
+def test_keys_and_texts_are_told_apart(spark):
+    rows = [("a\nb", "c"), ("a", "b\nc"), (None, "x"), ("", "x"), ("-", "x"), ("1:a", "b"), ("1", "a:b")]
+    found = spark.createDataFrame(rows, "k string, t string").select(lines.identity("k", "t").alias("i")).distinct().count()
+    assert found == len(rows)
+
+
+def test_many_cuts_in_one_text(docs):
+    run = lambda k: " ".join(f"w{k}x{i}" for i in range(50))
+    text = "\n".join(f"{run(k)}\nown {k}" for k in range(3_000))
+    given = docs((1, "\n".join(run(k) for k in range(3_000))), (2, text))
+    found = {r["doc_id"]: r for r in lines.dedup(given).collect()}
+    assert found[2]["n_deleted"] == 3_000 and found[1]["n_deleted"] == 0
+    assert found[2]["text"] == "\n".join(f"own {k}" for k in range(3_000))
+
+
 def test_runs_of_any_depth(docs):
     short = "\n".join(f"line {i}" for i in range(70))
     found = {r["doc_id"]: r["n_deleted"] for r in lines.dedup(docs((1, short), (2, f"x\n{short}\ny"), (3, short[:100]))).collect()}
