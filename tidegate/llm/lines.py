@@ -13,11 +13,13 @@ up to each of its lines. So an interval is looked up for each such stretch: a st
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.operators.membership import spread_join
-from tidegate.workspace import stage
+from tidegate.workspace import Staged, release, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 MIN_WORDS = 50
@@ -54,7 +56,11 @@ def ranked(groups: DataFrame, *keys: str) -> DataFrame:
     Rows are sorted by range; a rank is the number of the range and the place in it, so no task counts
     beyond its own rows. The ranks are written, so they stay as they are.
     """
-    return stage(groups.orderBy(*keys).select(*keys, F.monotonically_increasing_id().alias("rank")), "ranks").df
+    return _ranked(groups, *keys).df
+
+
+def _ranked(groups: DataFrame, *keys: str) -> Staged:
+    return stage(groups.orderBy(*keys).select(*keys, F.monotonically_increasing_id().alias("rank")), "ranks")
 
 
 def repeated(rows: DataFrame, *keys: str) -> DataFrame:
@@ -110,22 +116,28 @@ def stretches(shared: DataFrame, min_words: int) -> DataFrame:
 
 
 def later_copies(df: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
-    """``row`` and ``cuts``, the sorted stretches (first, last) of lines of it that occur earlier in the corpus."""
-    lines = stage(sequences(df, key, text).distinct(), "lines").df
+    """``row`` and ``cuts``, the sorted stretches (first, last) of lines of it that occur earlier in the corpus.
+
+    The tables of a round are let go of once those of the next are written.
+    """
+    spark = df.sparkSession
+    lines = stage(sequences(df, key, text).distinct(), "lines")
     by_id = ["h", "g"]
-    ranks = ranked(repeated(lines, *by_id), *by_id)
+    ranks = _ranked(repeated(lines.df, *by_id), *by_id)
     # The lines of a text that have words, numbered; a line's region includes the wordless lines after it.
     within = Window.partitionBy("row").orderBy("o")
-    numbered = lines.select(
+    numbered = lines.df.select(
         "*",
         (F.row_number().over(within) - 1).alias("j"),
         F.coalesce(F.lead("o").over(within), F.lit(2**31 - 1)).alias("last"),
     ).withColumn("first", F.when(F.col("j") == 0, 0).otherwise(F.col("o")))
-    shared = stage(spread_join(numbered, ranks, by_id, "inner").drop("h", "g", "o"), "shared").df
-    wanted = stage(stretches(shared, min_words), "stretches", F.max("n").alias("longest"))
+    shared = stage(spread_join(numbered, ranks.df, by_id, "inner").drop("h", "g", "o"), "shared")
+    release(spark, lines.path, ranks.path)
+    wanted = stage(stretches(shared.df, min_words), "stretches", F.max("n").alias("longest"))
     longest = wanted.metrics["longest"] or 0
 
-    suffixes, depth, cuts = shared.select("row", "j", "rank"), 1, None
+    suffixes, depth = shared.df.select("row", "j", "rank"), 1
+    cuts, used = [], [shared.path]
     while depth <= longest:
         known = (F.col("n") >= depth) & (F.col("n") < 2 * depth)
         begins = suffixes.withColumnRenamed("rank", "a")
@@ -140,18 +152,20 @@ def later_copies(df: DataFrame, key: str, text: str, min_words: int) -> DataFram
         place = F.struct("key", "row", "j")
         interval = placed.groupBy("n", "a", "b").agg(F.min(place).alias("__kept"), F.count(F.lit(1)).alias("__n"))
         later = spread_join(placed, interval.where("__n > 1").drop("__n"), ["n", "a", "b"], "inner")
-        later = later.where(F.col("__kept") != place).select("row", "first", "last")
-        cuts = later if cuts is None else cuts.unionByName(later)
+        cuts.append(stage(later.where(F.col("__kept") != place).select("row", "first", "last"), "cuts"))
         if 2 * depth <= longest:
             following = suffixes.select("row", (F.col("j") - depth).alias("j"), F.col("rank").alias("next"))
-            pairs = stage(suffixes.withColumnRenamed("rank", "begin").join(following, ["row", "j"]), "pairs").df
-            doubled = ranked(repeated(pairs, "begin", "next"), "begin", "next")
-            suffixes = spread_join(pairs, doubled, ["begin", "next"], "inner").select("row", "j", "rank")
-            suffixes = stage(suffixes, "suffixes").df
+            pairs = stage(suffixes.withColumnRenamed("rank", "begin").join(following, ["row", "j"]), "pairs")
+            doubled = _ranked(repeated(pairs.df, "begin", "next"), "begin", "next")
+            joined = spread_join(pairs.df, doubled.df, ["begin", "next"], "inner").select("row", "j", "rank")
+            new = stage(joined, "suffixes")
+            release(spark, pairs.path, doubled.path, *used)
+            suffixes, used = new.df, [new.path]
         depth *= 2
-    if cuts is None:
-        cuts = wanted.df.select("row", "first", "last")
-    return merged(cuts)
+    found = [c.df for c in cuts] or [wanted.df.select("row", "first", "last")]
+    result = stage(merged(reduce(DataFrame.unionByName, found)), "merged")
+    release(spark, wanted.path, *used, *[c.path for c in cuts])
+    return result.df
 
 
 def merged(cuts: DataFrame) -> DataFrame:
