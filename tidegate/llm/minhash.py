@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidegate.llm.common import SLICE_ROWS, map_rows, ship
 from tidegate.llm.components import components
 from tidegate.operators.membership import spread_join
-from tidegate.workspace import stage
+from tidegate.workspace import Staged, release, stage
 
 # 32 bands of 4 values from 64 permutations: of pairs at similarity 0.8, one in 20 million shares no band.
 BANDS, ROWS = 32, 4
@@ -158,61 +158,86 @@ def near_duplicates(
     pairs are compared that can be similar by their rarest shingles (`_by_rare_shingles`), which misses none. So
     a large group costs a few comparisons per member.
     """
-    rows = stage(signatures(df, key, text, width), "signatures").df
-    present = rows.where(F.col("digest").isNotNull() & F.col(key).isNotNull())
+    spark = df.sparkSession
+    rows = stage(signatures(df, key, text, width), "signatures")
+    present = rows.df.where(F.col("digest").isNotNull() & F.col(key).isNotNull())
     # One row per shingle set; equal sets have equal bands.
     classes = present.groupBy("digest").agg(
         F.min(key).alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
-    classes = stage(classes, "classes").df
-    members = classes.select("node", "n", F.explode("bands").alias("band"))
+    classes = stage(classes, "classes")
+    members = classes.df.select("node", "n", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("band")
-    members = stage(spread_join(members, shared, ["band"], "inner"), "members").df
-    nodes = members.select(F.col("node").alias(key)).distinct()
+    members = stage(spread_join(members, shared, ["band"], "inner"), "members")
+    nodes = members.df.select(F.col("node").alias(key)).distinct()
     texts = df.select(key, text).join(nodes, key, "left_semi").select(F.col(key).alias("id"), F.col(text).alias("text"))
-    texts = stage(texts, "texts").df
+    texts = stage(texts, "texts")
 
-    links, tried = None, None
+    known, tried, used = None, None, []
     for rule in ("least", "other", "rare"):
-        pairs = _candidates(members, texts, links, rule, width, percent)
+        pairs = _candidates(members.df, texts.df, known, rule, width, percent)
         if tried is not None:
             both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(both, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs", F.count(F.lit(1)).alias("n"))
+        used.append(pairs.path)
         if not pairs.metrics["n"]:
             continue
         tried = pairs.df if tried is None else tried.unionByName(pairs.df)
-        found = stage(confirm(pairs.df, texts, width, percent), "confirmed").df
-        links = found if links is None else links.unionByName(found)
-
-    labelled = classes.select("digest", "node")
-    if links is not None:
-        labelled = labelled.join(components(links), "node", "left")
+        found = stage(confirm(pairs.df, texts.df, width, percent), "confirmed")
+        known = _joined_up(known, found.df)
+        used += [found.path, known.path]
+        known = known.df
+
+    labelled = classes.df.select("digest", "node")
+    if known is not None:
+        labelled = labelled.join(known, "node", "left")
         labelled = labelled.select("digest", F.coalesce("component", "node").alias("component_id"))
     else:
         labelled = labelled.withColumnRenamed("node", "component_id")
-    joined = spread_join(rows.select(key, "n", "digest"), labelled, ["digest"], "left")
+    joined = spread_join(rows.df.select(key, "n", "digest"), labelled, ["digest"], "left")
     component = F.when(F.col(key).isNotNull(), F.coalesce("component_id", key))
-    return joined.select(
+    result = joined.select(
         key,
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col(key) == component, F.lit(True)).alias("kept"),
     )
+    result = stage(result, "near-duplicates")
+    release(spark, rows.path, classes.path, members.path, texts.path, *used)
+    return result.df
+
+
+def _joined_up(known: DataFrame | None, links: DataFrame) -> Staged:
+    """(node, component) after further ``links``, from the components so far: the links are contracted to them, so only
+    what they join is gone through again."""
+    if known is None:
+        return stage(components(links), "components")
+
+    def contracted(df: DataFrame, end: str) -> DataFrame:
+        met = spread_join(df, known.withColumnRenamed("node", end), [end], "left")
+        return met.withColumn(end, F.coalesce("component", end)).drop("component")
+
+    joined = stage(components(contracted(contracted(links, "a"), "b")), "components")
+    moved = joined.df.select(F.col("node").alias("component"), F.col("component").alias("__to"))
+    before = spread_join(known, moved, ["component"], "left").select("node", F.coalesce("__to", "component").alias("component"))
+    new = joined.df.join(known.select("node"), "node", "left_anti")
+    after = stage(before.unionByName(new.select("node", "component")), "components")
+    release(links.sparkSession, joined.path)
+    return after
 
 
 def _candidates(
-    members: DataFrame, texts: DataFrame, links: DataFrame | None, rule: str, width: int, percent: int
+    members: DataFrame, texts: DataFrame, known: DataFrame | None, rule: str, width: int, percent: int
 ) -> DataFrame:
     """Pairs (a, b) of documents that share a band and are in different components so far.
 
     ``least`` and ``other`` pair each member of a bucket with one of it: the least node, or the one whose hash
     with the band is least, so that a group meets other partners in each band. ``rare`` finds all other pairs.
     """
-    if links is None:
+    if known is None:
         placed = members.withColumn("c", F.col("node"))
     else:
-        known = components(links)
         placed = spread_join(members, known, ["node"], "left").withColumn("c", F.coalesce("component", "node"))
         mixed = placed.groupBy("band").agg(F.min("c").alias("__l"), F.max("c").alias("__h")).where("__l <> __h")
         placed = spread_join(placed, mixed.select("band"), ["band"], "inner").select("node", "n", "band", "c")
