@@ -199,7 +199,7 @@ def test_digests_project_every_piece(docs, tmp_path, rule, trim):
     found = {r["doc_id"]: r for r in sentencepiece.digests(docs(*enumerate(texts)), str(path)).collect()}
     for at, text in enumerate(texts):
         pieces = processor.encode(text, return_type="proto").pieces
-        spans = np.array([(p.id, p.begin, p.end) for p in pieces], "<i8").reshape(-1, 3)
+        spans = np.array([(p.id, p.begin, p.end) for p in pieces], "<i4").reshape(-1, 3)
         assert found[at]["n_tokens"] == len(spans)
         assert found[at]["ids_sha256"] == hashlib.sha256(",".join(str(p.id) for p in pieces).encode()).hexdigest()
         assert found[at]["n_bytes"] == int((spans[:, 2] - spans[:, 1]).sum())

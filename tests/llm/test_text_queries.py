@@ -49,7 +49,7 @@ def test_sentencepiece_equals_the_library(spark, db):
         assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(processor.decode(ids).encode()).hexdigest()
         pieces = processor.encode(text, return_type="proto").pieces
-        spans = np.array([(p.id, p.begin, p.end) for p in pieces], "<i8")
+        spans = np.array([(p.id, p.begin, p.end) for p in pieces], "<i4")
         assert row["spans_sha256"] == hashlib.sha256(spans.tobytes()).hexdigest()
         assert row["n_bytes"] == len(text.encode())
     assert not found
