@@ -206,7 +206,8 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int
     marked = df.select(
         identity(key, text).alias("row"), F.col(text).alias("text"), F.struct(*others).alias("given")
     )
-    joined = marked.join(cuts, "row", "left").withColumn("lines", F.when(F.col("text").isNotNull(), F.split("text", "\n", -1)))
+    # Texts meet their cuts by shuffle whatever the size of the cuts, which grow with the corpus.
+    joined = marked.join(cuts.hint("shuffle_merge"), "row", "left").withColumn("lines", F.when(F.col("text").isNotNull(), F.split("text", "\n", -1)))
     counted = joined.withColumn("kept", F.when(F.col("cuts").isNotNull(), kept_lines(F.col("lines"), F.col("cuts"))))
     changed = F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(F.col("text"))
     n_lines = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
