@@ -30,7 +30,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     scored = toxicity.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rejected = scored.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(rejected.hint("shuffle_merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = minhash.near_duplicates(docs, width=5)
     kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    rows = docs.join(kept.hint("shuffle_merge"), "doc_id", "left_semi").select(*docs.columns)
     one = rows.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("r"))
     one = one.select(*[F.col("doc_id") if c == "doc_id" else F.col("r").getField(c).alias(c) for c in docs.columns])
     return one.unionByName(docs.where("doc_id IS NULL"))
