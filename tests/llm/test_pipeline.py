@@ -81,3 +81,62 @@ def test_every_stage_takes_effect(spark, corpus):
     found = sorted((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in held["sentencepiece"])
     assert found == sorted(map(expected, held["mixing"]))
     assert sorted((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in corpus_pipeline.run(spark, folder).collect()) == found
+
+
+EDGE_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score string, row int, `cuts` string, kept string"
+
+
+def edge_folder(spark, folder, rows, labels=()):
+    full = [(i, t, "en", source, len(t or ""), "s", 1, "c", "k") for i, t, source in rows]
+    spark.createDataFrame(full, EDGE_COLUMNS).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def stages(spark, docs, folder):
+    """What each stage returns, given what the one before returned."""
+    held = {}
+    for name, function in corpus_pipeline.STAGES:
+        out = function(spark, docs, folder)
+        if name != "sentencepiece":
+            assert out.columns == docs.columns
+        out.write.parquet(f"{folder}/{name}")
+        docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+        held[name] = docs.collect()
+    return held
+
+
+def test_edge_rows_pass_every_stage(spark, tmp_path):
+    """NULL, empty and repeated rows, NULL ids, clashing columns; without labels nothing is toxic."""
+    folder = str(tmp_path)
+    rows = [(1, None, "a"), (2, "", "a"), (None, "a b c", "a"), (None, "a b c", None), (3, prose(60), None), (3, "other words here", None)]
+    rows += [(4, "same text", "b"), (4, "same text", "b"), (5, " \n ", "b")]
+    held = stages(spark, edge_folder(spark, folder, rows), folder)
+    ids = lambda name: sorted((r["doc_id"] for r in held[name]), key=repr)
+    assert ids("toxicity") == sorted((i for i, _, _ in rows), key=repr)
+    assert ids("line_dedup") == ids("toxicity")
+    # Of the rows of one id one stays; those without an id all stay.
+    assert ids("near_dedup") == sorted([1, 2, 3, 4, 5, None, None], key=repr)
+    sizes = {r["doc_id"]: len((r["text"] or "").split()) for r in held["near_dedup"]}
+    assert {r["doc_id"] for r in held["mixing"]} <= set(sizes)
+    assert len(held["sentencepiece"]) == len(held["mixing"])
+    assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(held["sentencepiece"][0].asDict())
+
+
+def test_no_rows_pass_every_stage(spark, tmp_path):
+    folder = str(tmp_path)
+    held = stages(spark, edge_folder(spark, folder, []), folder)
+    assert all(found == [] for found in held.values())
+
+
+def test_an_id_with_one_toxic_text_goes(spark, tmp_path):
+    folder = str(tmp_path)
+    clean = [(i, prose(40), "a") for i in range(60)]
+    toxic = [(100 + i, f"{prose(10)} grobian grobian grobian {prose(5)}", "a") for i in range(40)]
+    both = [(200, prose(40), "a"), (200, f"{prose(10)} grobian grobian grobian {prose(5)}", "a")]
+    labels = [(i, 1, int(i >= 100)) for i, _, _ in clean + toxic]
+    docs = edge_folder(spark, folder, clean + toxic + both, labels)
+    kept = {r["doc_id"] for r in corpus_pipeline.reject_toxic(spark, docs, folder).collect()}
+    assert 200 not in kept
+    assert len(kept & set(range(60))) >= 57
+    assert len(kept & set(range(100, 140))) <= 4
