@@ -519,3 +519,15 @@ def test_no_term_is_crowded_out(docs, spark):
     row = {r["doc_id"]: r for r in toxicity.classify(given, labels).collect()}[1000]
     assert row["evidence"].count(":1:") == 3
     assert row["predicted"] == 1
+
+
+def test_words_are_encoded_once_whatever_marks_follow(monkeypatch):
+    model = sentencepiece.Model(sentencepiece.read_model(MODEL))
+    merged, split = [], model._split
+    monkeypatch.setattr(model, "_split", lambda text: merged.append(text) or split(text))
+    text = " ".join(f"onenndthou{marks}" for marks in ("", ",", "!!", "***", "...&&&", "漢", "▁▁")) + " naïveté▁漢字."
+    ids, decoded, _ = model.round_trip(text)
+    library = SentencePieceProcessor(model_file=MODEL)
+    assert ids == ",".join(map(str, library.encode(text)))
+    assert decoded == library.decode(library.encode(text))
+    assert sum("onenndthou" in m for m in merged) == 1
