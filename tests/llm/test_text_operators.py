@@ -531,3 +531,17 @@ def test_words_are_encoded_once_whatever_marks_follow(monkeypatch):
     assert ids == ",".join(map(str, library.encode(text)))
     assert decoded == library.decode(library.encode(text))
     assert sum("onenndthou" in m for m in merged) == 1
+
+
+def test_chunks_are_remembered_as_long_as_the_task(docs, monkeypatch):
+    monkeypatch.setattr(sentencepiece, "map_rows", lambda df, columns, schema, make: make)
+    make = sentencepiece.digests(docs((1, "x")), MODEL)
+    assert make()("some words, once remembered", 1) == make()("some words, once remembered", 1)
+    assert not sentencepiece.load(sentencepiece.read_model(MODEL)).known
+
+
+def test_few_words_are_remembered():
+    signer = minhash.Signer(2)
+    for k in range(2):
+        signer.hashes([b"%d-%d" % (k, n) for n in range(120_000)])
+    assert len(signer.known) <= 120_000

@@ -27,7 +27,7 @@ BANDS, ROWS = 32, 4
 PERMUTATIONS = BANDS * ROWS // 2
 SEED = 20_240_601
 # Word hashes remembered by a task; shingles that are permuted at a time.
-CACHE_WORDS, STRETCH = 500_000, 16_384
+CACHE_WORDS, STRETCH = 100_000, 16_384
 
 
 def words_of(text: str | None) -> list[bytes]:
