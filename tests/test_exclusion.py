@@ -1,6 +1,6 @@
 import pytest
 
-from tidegate.operators.exclusion import exclude_routes, exclude_trips, role_frames
+from tidegate.operators.exclusion import exclude_routes, exclude_routes_and_trips, exclude_trips, role_frames
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +84,15 @@ def test_entity_names(graph):
 
 def test_empty_route_list_removes_nothing(spark, graph):
     assert exclude_routes(graph, graph, routes(spark, 1).limit(0)) == graph
+
+
+def test_routes_and_trips_in_one_join(spark, graph):
+    listed = routes(spark, 1)
+    chained = exclude_trips(exclude_routes(graph, graph, listed), graph, ["D"], [5])
+    at_once = exclude_routes_and_trips(graph, graph, listed, ["D"], [5])
+    assert {role: ids(df) for role, df in at_once.items()} == {role: ids(df) for role, df in chained.items()}
+    assert at_once["trip_activity"]._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
+    none = routes(spark, 1).limit(0)
+    assert ids(exclude_routes_and_trips(graph, graph, none, ["D"])["trip"]) == ids(exclude_trips(graph, graph, ["D"])["trip"])
+    assert ids(exclude_routes_and_trips(graph, graph, listed)["trip"]) == [4, 5]
+    assert exclude_routes_and_trips(graph, graph, none) == graph

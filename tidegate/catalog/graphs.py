@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.catalog.registry import query, table
-from tidegate.operators.exclusion import exclude_routes, exclude_trips
+from tidegate.operators.exclusion import exclude_routes, exclude_routes_and_trips, exclude_trips
 from tidegate.operators.hierarchy import descendants
 
 
@@ -190,5 +190,4 @@ def trip_exclusion_codes_first(spark, sf_dir):
 @query(f"WITH RECURSIVE {RELATIONS_SQL}, {ROUTE_SETS}, {BY_BOTH} {_kept_sql(ROUTE_KEEP, TRIP_KEEP)}")
 def route_then_trip_exclusion(spark, sf_dir):
     sources = _sources(spark, sf_dir)
-    kept = exclude_routes(sources, sources, _excluded_routes(spark, sf_dir))
-    return _survivors(exclude_trips(kept, sources, ["1-URGENT"], [2, 3, 5]))
+    return _survivors(exclude_routes_and_trips(sources, sources, _excluded_routes(spark, sf_dir), ["1-URGENT"], [2, 3, 5]))

@@ -146,13 +146,18 @@ def exclude_routes(
 ) -> dict[str, DataFrame]:
     """Remove excluded routes and everything that hangs on them. ``route_ids`` has one column; an
     empty list removes nothing, and otherwise rows with a NULL route id go too, as with NOT IN."""
+    keys = _route_keys(sources, route_ids, folder)
+    return dict(extracts) if keys is None else apply_rules(extracts, keys, ROUTE_RULES)
+
+
+def _route_keys(
+    sources: Mapping[str, DataFrame], route_ids: DataFrame, folder: str | None = None
+) -> dict[str, DataFrame] | None:
+    """Keys that hang on ``route_ids``; None for an empty list."""
     folder = folder or scratch_path(route_ids.sparkSession, "excluded")
     listed = distinct_keys(route_ids, route_ids.columns[:1])
     routes = stage(listed, "keys", F.count(F.lit(1)).alias("n"), path=f"{folder}/route")
-    if not routes.metrics["n"]:
-        return dict(extracts)
-    keys = excluded_keys({"route": routes.df}, sources, ROUTE_STEPS, folder)
-    return apply_rules(extracts, keys, ROUTE_RULES)
+    return excluded_keys({"route": routes.df}, sources, ROUTE_STEPS, folder) if routes.metrics["n"] else None
 
 
 def exclude_trips(
@@ -167,10 +172,18 @@ def exclude_trips(
 
     ``union`` seeds by codes and by ids; ``codes_first`` ignores the ids as soon as a code is given.
     """
+    keys = _trip_keys(sources, trip_codes, trip_ids, seed_policy, folder)
+    return dict(extracts) if keys is None else apply_rules(extracts, keys, TRIP_RULES)
+
+
+def _trip_keys(
+    sources: Mapping[str, DataFrame], trip_codes: Sequence[str], trip_ids: Sequence[int], seed_policy: str, folder: str | None = None
+) -> dict[str, DataFrame] | None:
+    """Keys that hang on the chosen trips; None if none are chosen."""
     if seed_policy not in ("union", "codes_first"):
         raise ValueError(f"unsupported seed policy '{seed_policy}'")
     if not trip_codes and not trip_ids or "trip" not in sources:
-        return dict(extracts)
+        return None
     trips = sources["trip"]
     trip_id, parent, code = resolve(trips, ["TRIP_ID", "PARENT_TRIP_ID", "TRIP_CD"])
     chosen = []
@@ -181,5 +194,28 @@ def exclude_trips(
     seeds = chosen[0].unionByName(chosen[1]) if len(chosen) == 2 else chosen[0]
     folder = folder or scratch_path(trips.sparkSession, "excluded")
     below = descendants(trips.select(trip_id, parent), seeds, trip_id, parent, folder=f"{folder}/trip")
-    keys = excluded_keys({"trip": below}, sources, TRIP_STEPS, folder)
-    return apply_rules(extracts, keys, TRIP_RULES)
+    return excluded_keys({"trip": below}, sources, TRIP_STEPS, folder)
+
+
+def exclude_routes_and_trips(
+    extracts: Mapping[str, DataFrame],
+    sources: Mapping[str, DataFrame],
+    route_ids: DataFrame,
+    trip_codes: Sequence[str] = (),
+    trip_ids: Sequence[int] = (),
+    seed_policy: str = "union",
+) -> dict[str, DataFrame]:
+    """What `exclude_trips` leaves of what `exclude_routes` leaves.
+
+    Both take their keys from the full ``sources``, so a role that both filter is joined once, with the union of keys.
+    """
+    by_route = _route_keys(sources, route_ids) or {}
+    by_trip = _trip_keys(sources, trip_codes, trip_ids, seed_policy) or {}
+    keys = by_route | {
+        key: _united(by_route[key], found) if key in by_route else found for key, found in by_trip.items()
+    }
+    return apply_rules(extracts, keys, ROUTE_RULES)
+
+
+def _united(first: DataFrame, second: DataFrame) -> DataFrame:
+    return stage(distinct_keys(first.unionByName(second), first.columns[:1]), "keys").df
